@@ -108,14 +108,30 @@ def split_cells(line) -> Column:
 
 
 def month_columns(header_cells) -> Column:
-    """(position, label) of each month column; the first of repeated labels counts."""
+    """Month columns of a header: place, label and calendar fields.
+
+    Labels are read as dates here, once per report and not once per cell; one that is no
+    month has NULL fields. The first of repeated labels counts.
+    """
     cells = as_column(header_cells)
-    tagged = F.transform(
+    placed = F.transform(
         cells, lambda label, i: F.struct(i.alias("position"), label.alias("label")))
-    return F.filter(
-        tagged,
+    months = F.filter(
+        placed,
         lambda x: F.regexp_like(x["label"], F.lit(MONTH_PATTERN))
         & (F.array_position(cells, x["label"]) == x["position"] + 1))
+    return F.transform(months, _with_calendar)
+
+
+def _with_calendar(month: Column) -> Column:
+    day = period_of(month["label"])
+    return F.struct(
+        month["position"].alias("position"),
+        month["label"].alias("label"),
+        F.date_format(day, "yyyy-MM-dd").alias("period"),
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        month_name(day).alias("month_name"))
 
 
 def period_of(label) -> Column:

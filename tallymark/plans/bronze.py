@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymark.functions.numbers import count_or_zero, finite
 from tallymark.functions.reports import (
     DEFAULT_NAMING, OTHER, STRICT_MONTH_PATTERN, ReportNaming, expected_header, header_key,
-    is_national, month_columns, month_name, period_of, report_type, split_cells, state_code)
+    is_national, month_columns, report_type, split_cells, state_code)
 from tallymark.operators.totals import join_on
 from tallymark.schemas import MEASURE, PLANNED_STATES, REPORT_RANGES, SUMMARY_LABELS, UNIFIED_COLUMNS
 
@@ -93,9 +93,9 @@ def unpivot_months(rows: DataFrame) -> DataFrame:
         "source_file", "dataset_type", F.element_at("cells", 1).alias("dimension_value"),
         "cells", F.explode("months").alias("m"))
     return cells.select(
-        "source_file", "dataset_type", "dimension_value",
-        F.col("m.label").alias("label"),
-        F.get("cells", F.col("m.position")).alias("cell"))
+        "source_file", "dataset_type", "dimension_value", "m.label",
+        F.get("cells", F.col("m.position")).alias("cell"),
+        "m.period", "m.year", "m.month", "m.month_name")
 
 
 def drop_summary_rows(rows: DataFrame) -> DataFrame:
@@ -103,21 +103,15 @@ def drop_summary_rows(rows: DataFrame) -> DataFrame:
     return rows.filter((value != "") & ~is_summary_row(value))
 
 
-def with_period(rows: DataFrame) -> DataFrame:
-    """Period, year, month and month name; labels that are no month are dropped."""
-    dated = rows.withColumn("_day", period_of("label")).filter("_day IS NOT NULL")
-    return dated.select(
-        *rows.columns,
-        F.date_format("_day", "yyyy-MM-dd").alias("period"),
-        F.year("_day").alias("year"), F.month("_day").alias("month"),
-        month_name("_day").alias("month_name"))
+def drop_undated(rows: DataFrame) -> DataFrame:
+    """Rows whose label is a month of the calendar."""
+    return rows.filter("period IS NOT NULL")
 
 
 def long_rows(reports: Reports) -> DataFrame:
     """Unified rows of all reports before full repeats are dropped."""
-    valued = drop_summary_rows(unpivot_months(body(reports))).withColumn(
-        MEASURE, count_or_zero("cell"))
-    return with_period(valued).select(*UNIFIED_COLUMNS)
+    cells = drop_undated(drop_summary_rows(unpivot_months(body(reports))))
+    return cells.withColumn(MEASURE, count_or_zero("cell")).select(*UNIFIED_COLUMNS)
 
 
 def unify(reports: Reports) -> DataFrame:
@@ -133,7 +127,7 @@ def failures(reports: Reports, naming: ReportNaming = DEFAULT_NAMING) -> DataFra
         ).alias("value_rows"))
     heads = reports.headers.select(
         "source_file",
-        F.exists("months", lambda m: period_of(m["label"]).isNotNull()).alias("dated"),
+        F.exists("months", lambda m: m["period"].isNotNull()).alias("dated"),
         F.size("months").alias("month_count"))
     state = (
         reports.files().join(heads, "source_file", "left").join(sizes, "source_file", "left")
@@ -215,6 +209,28 @@ def total_reconcile(reports: Reports) -> DataFrame:
         F.when(F.col("month_sum") == F.col("stated_total"), "PASS").otherwise("CHECK"))
 
 
+def report_quality(reports: Reports) -> DataFrame:
+    """Per report: rows, repeated values, empty, non-numeric and negative cells."""
+    cells = F.transform("months", lambda m: F.coalesce(F.get("cells", m["position"]), F.lit("")))
+
+    def hits(condition):
+        return F.size(F.filter("_cells", condition))
+
+    rows = body(reports).select(
+        "source_file", F.element_at("cells", 1).alias("value"), cells.alias("_cells"))
+    per_value = rows.groupBy("source_file", "value").agg(
+        F.count("*").alias("n"),
+        F.sum(hits(lambda c: c == "")).alias("empty"),
+        F.sum(hits(lambda c: (c != "") & finite(c).isNull())).alias("text"),
+        F.sum(hits(lambda c: finite(c) < 0)).alias("negative"))
+    return per_value.groupBy("source_file").agg(
+        F.sum("n").alias("row_count"),
+        F.sum(F.col("n") - 1).alias("duplicate_values"),
+        F.sum("empty").alias("empty_cells"),
+        F.sum("text").alias("non_numeric_cells"),
+        F.sum("negative").alias("negative_cells"))
+
+
 def _claimed_years(text, pattern: str):
     first = F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).cast("int")
     last = F.nullif(F.regexp_extract(text, pattern, 2), F.lit("")).cast("int")
@@ -233,10 +249,10 @@ def title_lineage(reports: Reports) -> DataFrame:
         .groupBy("source_file")
         .agg(F.min_by(F.array_join("cells", ","), "line_order").alias("title"))
     )
-    days = F.transform("months", lambda m: period_of(m["label"]))
+    found = F.transform("months", lambda m: m["year"])
     heads = reports.headers.select(
         "source_file",
-        F.year(F.array_min(days)).alias("found_from"), F.year(F.array_max(days)).alias("found_to"))
+        F.array_min(found).alias("found_from"), F.array_max(found).alias("found_to"))
     title_from, title_to = _claimed_years(F.col("title"), r"\((\d{4})(?:-(\d{4}))?\)")
     name_from, name_to = _claimed_years(F.col("source_file"), r"_(\d{4})_(\d{4})\.csv$")
     files = reports.files().select("source_file")
@@ -251,14 +267,19 @@ def title_lineage(reports: Reports) -> DataFrame:
         "status", F.when(F.coalesce(agrees, F.lit(False)), "PASS").otherwise("CHECK"))
 
 
-def report_plan(spark: SparkSession, states=PLANNED_STATES, ranges=REPORT_RANGES) -> DataFrame:
+def report_plan(states: DataFrame, ranges=REPORT_RANGES) -> DataFrame:
     """Every report that should be delivered: states x reports x their year ranges."""
-    rows = [
-        (state, report, lo, hi)
-        for state in states for report, spans in ranges.items() for lo, hi in spans
-    ]
-    return spark.createDataFrame(
-        rows, "state_code string, report string, from_year int, to_year int")
+    spans = F.array(*[
+        F.struct(
+            F.lit(report).alias("report"), F.lit(lo).alias("from_year"), F.lit(hi).alias("to_year"))
+        for report, years in ranges.items() for lo, hi in years
+    ])
+    return states.select("state_code", F.inline(spans))
+
+
+def planned_states(states: DataFrame) -> DataFrame:
+    """The states that deliver reports, out of a table that knows more codes."""
+    return states.filter(F.col("state_code").isin(*PLANNED_STATES))
 
 
 def report_coverage(

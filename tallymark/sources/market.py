@@ -7,25 +7,21 @@ different tables: customer segments by order month (category), part brands by sh
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from tallymark.functions.reports import month_name
-from tallymark.plans.gold import Gold, dim_date, dim_state, dim_value, fact
+from tallymark.plans.gold import Gold, build_gold, fact
 from tallymark.plans.silver import silver_columns
-from tallymark.schemas import CATEGORY, FUEL, GRAINS, MANUFACTURER, MEASURE, SILVER_SCHEMA, Grain
+from tallymark.schemas import CATEGORY, FUEL, GRAINS, MEASURE, SILVER_SCHEMA, Grain
 from tallymark.sources.report_files import LINE_SCHEMA
 from tallymark.sources.workspace import TableStore, digest, table_path
 
 YEARS = (1995, 2001)
 _STORE = TableStore()
 
-# Tables each grain is made from.
-_INPUTS = {
-    "category": ["orders", "customer", "nation"],
-    "fuel": ["lineitem", "orders", "customer", "part", "nation"],
-    "manufacturer": ["lineitem", "supplier", "nation"],
-}
+TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem"]
 _REPORT = {"category": "vehicle_category", "fuel": "fuel", "manufacturer": "manufacturer"}
 
 
@@ -165,6 +161,7 @@ class Market:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.store = store
+        self._listed: str | None = None
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -183,24 +180,36 @@ class Market:
             cells = manufacturer_cells(t("lineitem"), t("supplier"))
         return to_silver(cells, t("nation"), grain)
 
-    def _version(self, names) -> str:
-        """Changes with the files that the tables consist of."""
-        return digest(*sorted(f for name in names for f in self.source(name).inputFiles()))
+    def version(self) -> str:
+        """Changes with the files that the tables consist of; only lists them."""
+        if self._listed is None:
+            paths = [f"{self.sf_dir}/{name}.parquet" for name in TABLES]
+            self._listed = digest(*sorted(self.spark.read.text(paths).inputFiles()))
+        return self._listed
+
+    def _silver_path(self, *parts: str) -> str | None:
+        return table_path(self.spark, f"silver-{self.version()}", *parts)
+
+    def _write(self, grain: Grain) -> str | None:
+        """Make sure that the grain's partition of the Silver table is there."""
+        path = self._silver_path(f"dataset_type={grain.dataset_type}")
+        self.store.ensure(path, lambda: self.compute(grain).drop("dataset_type"))
+        return path
 
     def silver_part(self, grain: Grain) -> DataFrame:
-        version = self._version(_INPUTS[grain.name])
-        path = table_path(
-            self.spark, f"silver-{version}", f"dataset_type={grain.dataset_type}")
-        kept = StructType([f for f in SILVER_SCHEMA if f.name != "dataset_type"])
-        frame = self.store.table(
-            self.spark, path, kept, lambda: self.compute(grain).drop("dataset_type"))
-        return silver_columns(frame.withColumn("dataset_type", F.lit(grain.dataset_type)))
+        """One report; builds no other."""
+        path = self._write(grain)
+        if path is None:
+            return self.compute(grain)
+        reader = self.spark.read.schema(SILVER_SCHEMA).option("basePath", self._silver_path())
+        return silver_columns(reader.parquet(path))
 
     def silver(self) -> DataFrame:
-        first, *rest = [self.silver_part(g) for g in GRAINS]
-        for part in rest:
-            first = first.unionByName(part)
-        return first
+        """The whole Silver table, partitioned by dataset type."""
+        paths = [self._write(g) for g in GRAINS]
+        if paths[0] is None:
+            return reduce(DataFrame.unionByName, [self.compute(g) for g in GRAINS])
+        return silver_columns(self.spark.read.schema(SILVER_SCHEMA).parquet(self._silver_path()))
 
     def fact(self, grain: Grain) -> DataFrame:
         return fact(self.silver_part(grain), grain)
@@ -212,19 +221,11 @@ class Market:
         """The Bronze table: the market as lines of report text."""
         from tallymark.sources.rendered import report_lines
 
-        inputs = sorted({n for names in _INPUTS.values() for n in names})
-        path = table_path(self.spark, f"bronze-{self._version(inputs)}")
-        return self.store.table(
-            self.spark, path, LINE_SCHEMA, lambda: report_lines(self.silver()))
+        path = table_path(self.spark, f"bronze-{self.version()}")
+        if path is None:
+            return report_lines(self.silver())
+        self.store.ensure(path, lambda: report_lines(self.silver()))
+        return self.spark.read.schema(LINE_SCHEMA).parquet(path)
 
     def gold(self) -> Gold:
-        silver = self.silver()
-        return Gold(
-            dim_date=dim_date(silver),
-            dim_state=dim_state(silver),
-            dim_category=dim_value(self.silver_part(CATEGORY), CATEGORY),
-            dim_fuel=dim_value(self.silver_part(FUEL), FUEL),
-            dim_manufacturer=dim_value(self.silver_part(MANUFACTURER), MANUFACTURER),
-            fact_category=self.fact(CATEGORY),
-            fact_fuel=self.fact(FUEL),
-            fact_manufacturer=self.fact(MANUFACTURER))
+        return build_gold(self.silver())

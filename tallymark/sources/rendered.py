@@ -63,7 +63,8 @@ def report_rows(silver: DataFrame) -> DataFrame:
             .otherwise(shown))
 
     def counted(n, h):
-        lost = (h % 101 == 0) | (h % 103 == 0) | (h % 113 == 0)
+        lost = (h % 101 == 0) | (h % 103 == 0) | (
+            (h % 113 == 0) & (h % 107 != 0) & (h % 109 != 0))
         return F.when(lost, F.lit(0).cast("bigint")).otherwise(n)
 
     return filled.select(
@@ -123,21 +124,24 @@ def report_lines(silver: DataFrame) -> DataFrame:
     ])
     blanks = F.array(*[F.lit("5")] * 12)
 
-    def part(block, value, where=F.lit(True)):
-        return files.filter(where).select(
-            "source_file", "state_code", F.lit(block).alias("block"), F.lit(0).alias("row"),
-            value.alias("value"))
-
-    lines = (
-        part(0, F.concat(title, F.lit("\\n\\n"), header), ~maker)
-        .unionByName(part(0, F.concat(F.lit(BOM), title), maker))
-        .unionByName(part(1, header, maker))
-        .unionByName(data)
-        .unionByName(part(
-            3, _joined(F.lit("  "), blanks, F.lit(60), maker), F.col("file_hash") % 3 == 0))
-        .unionByName(part(
-            4, _joined(F.lit("Total"), F.transform(sums, lambda x: x.cast("string")),
-                       _line_sum(sums), maker), ~maker))
-    )
+    def line(block, value, where=None):
+        entry = F.struct(F.lit(block).alias("block"), value.alias("value"))
+        return entry if where is None else F.when(where, entry)
+
+    total = _joined(
+        F.lit("Total"), F.transform("sums", lambda x: x.cast("string")), _line_sum("sums"), maker)
+    blank = _joined(F.lit("  "), blanks, F.lit(60), maker)
+    around = F.filter(
+        F.array(
+            line(0, F.concat(title, F.lit("\\n\\n"), header), ~maker),
+            line(0, F.concat(F.lit(BOM), title), maker),
+            line(1, header, maker),
+            line(3, blank, F.col("file_hash") % 3 == 0),
+            line(4, total, ~maker)),
+        lambda e: e.isNotNull())
+    framed = files.withColumn("sums", sums).select(
+        "source_file", "state_code", F.inline(around)).select(
+        "source_file", "state_code", "block", F.lit(0).alias("row"), "value")
+    lines = data.unionByName(framed)
     named = lines.withColumn("source_file", F.explode(_names("source_file"))).drop("state_code")
     return split_physical(named)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import threading
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """Where the cluster wants intermediate tables; NULL when it names no place.
+    """Where the cluster wants intermediate tables; None when it names no place.
 
     Only a session on a single machine gets a temporary folder of its own instead.
     """
@@ -43,25 +43,32 @@ def digest(*parts) -> str:
 
 
 class TableStore:
-    """Frames that are computed once per application and then read as Parquet.
+    """Tables that are written once per application and then read as Parquet.
 
-    A table is known under a name and the list of files it came from; new input files
-    give a new table. Without a shared folder every frame stays lazy.
+    The path of a table tells the list of files it came from; new input files give a
+    new table. Without a shared folder every frame stays lazy.
     """
 
     def __init__(self) -> None:
         self._written: set[str] = set()
+        self._number = 0
+        # One table may need another, so the same thread may enter twice.
+        self._lock = threading.RLock()
+
+    def next_number(self) -> int:
+        """A number no earlier table of this application has."""
+        self._number += 1
+        return self._number
 
     def forget(self) -> None:
         """Compute every table anew at its next use."""
         self._written.clear()
 
-    def table(
-        self, spark: SparkSession, path: str | None, schema: StructType | str, build,
-    ) -> DataFrame:
+    def ensure(self, path: str | None, build) -> None:
+        """Write the table unless this application already has."""
         if path is None:
-            return build()
-        if path not in self._written:
-            build().write.mode("overwrite").parquet(path)
-            self._written.add(path)
-        return spark.read.schema(schema).parquet(path)
+            return
+        with self._lock:
+            if path not in self._written:
+                build().write.mode("overwrite").parquet(path)
+                self._written.add(path)
