@@ -9,23 +9,25 @@ def as_column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def finite(text) -> Column:
-    """Text as a finite double; NULL for anything else, NaN and infinities too."""
-    d = as_column(text).cast("string").try_cast("double")
-    return F.when(~F.isnan(d) & (F.abs(d) < F.lit(9.2e18)), d)
+def number(text) -> Column:
+    """Text as an exact number; NULL for anything else, NaN and infinities too."""
+    return as_column(text).cast("string").try_cast("decimal(38,10)")
+
+
+def _whole_text(text) -> Column:
+    # Nearly every cell is a plain whole number; this settles it at the least cost.
+    return as_column(text).cast("string").try_cast("bigint")
 
 
 def whole(text) -> Column:
     """Text as a whole bigint; fractions and non-numbers give NULL."""
-    exact = as_column(text).cast("string").try_cast("bigint")
-    d = finite(text)
-    return F.coalesce(exact, F.when(d == F.floor(d), d).cast("bigint"))
+    n = number(text)
+    return F.coalesce(_whole_text(text), F.when(n == F.floor(n), n.try_cast("bigint")))
 
 
 def count_of(text) -> Column:
     """Text as a count: fractions are rounded, non-numbers give NULL."""
-    exact = as_column(text).cast("string").try_cast("bigint")
-    return F.coalesce(exact, F.round(finite(text)).cast("bigint"))
+    return F.coalesce(_whole_text(text), F.round(number(text), 0).try_cast("bigint"))
 
 
 def count_or_zero(text) -> Column:

@@ -12,6 +12,8 @@ from tallymark.schemas import REPORT_HEADERS, STATE_REPORT_TYPES
 
 OTHER = "Other"
 BOM = "\ufeff"
+# Every character that counts as a blank.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 MONTH_PATTERN = r"^\d{4}-[A-Za-z]{3}$"
 STRICT_MONTH_PATTERN = r"^\d{4}-(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)$"
 # Stands for a comma inside quotes while a line is split on commas.
@@ -62,14 +64,14 @@ def is_national(path, naming: ReportNaming = DEFAULT_NAMING) -> Column:
 
 
 def state_code(path, naming: ReportNaming = DEFAULT_NAMING) -> Column:
-    """Two-letter code from the base name, NULL when no state report name matches."""
-    name = base_name(path)
-    hits = [
-        F.nullif(
-            F.regexp_extract(name, re.escape(naming.stem(t)) + "([a-z]{2})_", 1), F.lit(""))
-        for t in STATE_REPORT_TYPES
-    ]
-    return F.coalesce(*hits)
+    """Two-letter code from the base name, NULL when no state report name matches.
+
+    The report types are tried one after the other over the whole name, by the order of
+    the alternatives.
+    """
+    stems = "|".join(".*?" + re.escape(naming.stem(t)) for t in STATE_REPORT_TYPES)
+    return F.nullif(
+        F.regexp_extract(base_name(path), f"^(?:{stems})([a-z]{{2}})_", 1), F.lit(""))
 
 
 def expected_header(dataset_type, naming: ReportNaming = DEFAULT_NAMING) -> Column:
@@ -82,10 +84,13 @@ def header_key(cell) -> Column:
     return F.lower(F.trim(F.regexp_replace(as_column(cell), f"[{BOM}\"']", "")))
 
 
+def strip_blanks(text) -> Column:
+    """Text without outer blanks of any kind, no-break ones included."""
+    return F.btrim(as_column(text), F.lit(BLANKS))
+
+
 def strip_cell(cell) -> Column:
-    """Cell without marks, quotes and outer blanks, no-break ones included."""
-    return F.regexp_replace(
-        F.translate(as_column(cell), BOM + '"', ""), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return strip_blanks(F.translate(as_column(cell), BOM + '"', ""))
 
 
 def split_cells(line) -> Column:
@@ -142,8 +147,10 @@ def period_of(label) -> Column:
 
 
 def first_of_month(year, month) -> Column:
-    return F.try_to_date(
-        F.concat_ws("-", as_column(year), as_column(month), F.lit("1")), "y-M-d")
+    """First day of a month; NULL when there is no such month."""
+    year, month = as_column(year), as_column(month)
+    real = year.between(1, 9999) & month.between(1, 12)
+    return F.when(real, F.make_date(year, month, F.lit(1)))
 
 
 def month_name(date) -> Column:

@@ -1,6 +1,6 @@
 """Report lines to the Unified long table, with checks on the reports themselves.
 
-Input is a frame of (source_file, line_order, line). A report may be of any size: its
+Input is a frame of (source_file, line_order, line), which :func:`cut` completes. A report may be of any size: its
 lines are never gathered, only its header line is looked up and joined to them.
 """
 
@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymark.functions.numbers import count_or_zero, finite
+from tallymark.functions.numbers import count_or_zero, number
 from tallymark.functions.reports import (
     DEFAULT_NAMING, OTHER, STRICT_MONTH_PATTERN, ReportNaming, expected_header, header_key,
     is_national, month_columns, report_type, split_cells, state_code)
@@ -31,9 +31,20 @@ def without_national(files: DataFrame, naming: ReportNaming = DEFAULT_NAMING) ->
     return files.filter(~is_national("source_file", naming))
 
 
+def cut(lines: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> DataFrame:
+    """Lines with the type of their report and their cells: the rows of the Bronze table.
+
+    Stored with the lines, these are worked out once; as part of a longer plan the
+    optimizer would copy them into every filter that looks at them.
+    """
+    return classify(lines, naming).select(
+        "source_file", "dataset_type", "is_national", "is_processed", "line_order", "line",
+        F.when(F.col("is_processed"), split_cells("line")).alias("cells"))
+
+
 @dataclass(frozen=True)
 class Reports:
-    """Supported report lines, cut into cells, and one header row per report."""
+    """Lines of supported reports and one header row per report."""
 
     lines: DataFrame
     headers: DataFrame
@@ -42,26 +53,30 @@ class Reports:
         return self.lines.select("source_file", "dataset_type").distinct()
 
 
-def parse(lines: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> Reports:
-    """Keep the supported reports and find the header line of each.
+def parse(cut_lines: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> Reports:
+    """Keep the supported reports of a Bronze table and find the header line of each.
 
-    The header is the first line whose first cell is the one its type must have. It comes
-    from an aggregate with a map-side part, so even a huge report yields one row per task.
+    The header is the first line whose first cell is the one its type must have. Only
+    lines that qualify are aggregated, which leaves one row per report and task even of
+    a huge report.
     """
-    supported = classify(lines, naming).filter("is_processed").select(
-        "source_file", "dataset_type", "line_order", "line", split_cells("line").alias("cells"))
+    supported = cut_lines.filter("is_processed").select(
+        "source_file", "dataset_type", "line_order", "cells")
     is_header = header_key(F.element_at("cells", 1)) == F.lower(
         expected_header("dataset_type", naming))
     headers = (
         supported.filter(is_header)
         .groupBy("source_file", "dataset_type")
-        .agg(F.min_by("line", "line_order").alias("line"), F.min("line_order").alias("header_order"))
-        .select("source_file", "dataset_type", "header_order", split_cells("line").alias("header"))
+        .agg(F.min_by("cells", "line_order").alias("header"), F.min("line_order").alias("header_order"))
         .withColumn("months", month_columns("header"))
     )
     return Reports(supported, headers)
 
 
+def not_blank(reports: Reports) -> DataFrame:
+    return reports.lines.filter((F.size("cells") > 1) | (F.element_at("cells", 1) != ""))
+
+
 def header_lines(reports: Reports) -> DataFrame:
     """Header cells per report."""
     return reports.headers.select(
@@ -78,7 +93,7 @@ def body(reports: Reports) -> DataFrame:
     it broadcasts the headers when they prove small and splits a report that is not.
     """
     heads = reports.headers.select("source_file", "header_order", "header", "months")
-    joined = reports.lines.filter(F.trim("line") != "").join(heads, "source_file")
+    joined = not_blank(reports).join(heads, "source_file")
     return joined.filter(F.col("line_order") > F.col("header_order")).select(
         "source_file", "dataset_type", "line_order", "cells", "header", "months")
 
@@ -193,7 +208,7 @@ def total_reconcile(reports: Reports) -> DataFrame:
     by_row = rows.filter(total_at > 0).select(
         "source_file", F.lit("ROW").alias("direction"), F.col("value").alias("item"),
         month_sum.alias("month_sum"),
-        finite(F.get("cells", (total_at - 1).cast("int"))).cast("bigint").alias("stated_total"))
+        number(F.get("cells", (total_at - 1).cast("int"))).cast("bigint").alias("stated_total"))
     cells = unpivot_months(rows).withColumn("n", count_or_zero("cell"))
     is_total = is_summary_row(F.col("dimension_value"))
     by_column = (
@@ -221,8 +236,8 @@ def report_quality(reports: Reports) -> DataFrame:
     per_value = rows.groupBy("source_file", "value").agg(
         F.count("*").alias("n"),
         F.sum(hits(lambda c: c == "")).alias("empty"),
-        F.sum(hits(lambda c: (c != "") & finite(c).isNull())).alias("text"),
-        F.sum(hits(lambda c: finite(c) < 0)).alias("negative"))
+        F.sum(hits(lambda c: (c != "") & number(c).isNull())).alias("text"),
+        F.sum(hits(lambda c: number(c) < 0)).alias("negative"))
     return per_value.groupBy("source_file").agg(
         F.sum("n").alias("row_count"),
         F.sum(F.col("n") - 1).alias("duplicate_values"),
@@ -243,7 +258,7 @@ def title_lineage(reports: Reports) -> DataFrame:
     The title is the first line before the header that is not blank.
     """
     titles = (
-        reports.lines.filter(F.trim("line") != "")
+        not_blank(reports)
         .join(reports.headers.select("source_file", "header_order"), "source_file")
         .filter(F.col("line_order") < F.col("header_order"))
         .groupBy("source_file")

@@ -60,7 +60,9 @@ def run_medallion(
     _check(spark, quality.dq_silver(staged, years), "silver_validation", staged.count(), log)
 
     silver.require_no_conflicts(staged)
-    loadable = silver.load_gate(silver.dedup(staged))
+    deduped_path = f"{folder}/silver_deduped"
+    silver.dedup(staged).write.mode("overwrite").parquet(deduped_path)
+    loadable = silver.load_gate(spark.read.parquet(deduped_path))
     silver_path = f"{folder}/silver"
     tables.write_silver(loadable, silver_path)
     loaded = tables.read_silver(spark, silver_path)
@@ -68,8 +70,9 @@ def run_medallion(
     gold = build_gold(loaded)
     if with_views:
         views.register_views(gold)
-    summary = reconciliation.validation_summary(loaded, gold)
-    tables.replace_summary(summary, f"{folder}/validation_summary")
+    summary_path = f"{folder}/validation_summary"
+    tables.replace_summary(reconciliation.validation_summary(loaded, gold), summary_path)
+    summary = spark.read.parquet(summary_path).drop("validation_date")
     if summary.filter("status = 'FAIL'").limit(1).count():
         raise GateError("Silver and Gold row counts differ")
     return Medallion(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegralType
 
 from tallymark.functions.numbers import count_of, whole
 from tallymark.functions.reports import (
-    DEFAULT_NAMING, ReportNaming, first_of_month, state_code)
+    DEFAULT_NAMING, ReportNaming, first_of_month, state_code, strip_blanks)
 from tallymark.operators.checks import outside, require_columns
 from tallymark.operators.keys import conflicts, duplicate_keys, duplicate_records, first_per_key
 from tallymark.operators.ranking import top_k
@@ -27,11 +31,7 @@ def india_states(spark: SparkSession) -> DataFrame:
 def standardise(unified: DataFrame) -> DataFrame:
     """Silver names and trimmed text columns."""
     renamed = require_columns(unified, UNIFIED_TO_SILVER).withColumnsRenamed(UNIFIED_TO_SILVER)
-    return renamed.withColumns({c: strip_cell_text(c) for c in TEXT_COLUMNS})
-
-
-def strip_cell_text(column: str) -> Column:
-    return F.regexp_replace(F.col(column).cast("string"), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return renamed.withColumns({c: strip_blanks(F.col(c).cast("string")) for c in TEXT_COLUMNS})
 
 
 def with_state_code(df: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> DataFrame:
@@ -47,11 +47,19 @@ def map_state(df: DataFrame, states: DataFrame) -> DataFrame:
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
-    """Whole years and months, counts, and the first day of the month; NULL on failure."""
+    """Whole years and months, counts, and the first day of the month; NULL on failure.
+
+    Columns that already hold whole numbers are not read as text again.
+    """
+    def read(column, parse, kind):
+        if isinstance(df.schema[column].dataType, IntegralType):
+            return F.col(column).try_cast(kind)
+        return parse(column).try_cast(kind)
+
     typed = df.withColumns({
-        "year": whole("year").try_cast("int"),
-        "month": whole("month").try_cast("int"),
-        MEASURE: count_of(MEASURE),
+        "year": read("year", whole, "int"),
+        "month": read("month", whole, "int"),
+        MEASURE: read(MEASURE, count_of, "bigint"),
     })
     return typed.withColumn("date", first_of_month("year", "month"))
 
@@ -73,20 +81,21 @@ def reject_rules(years=VALID_YEARS) -> dict[str, Column]:
     return dict(zip(REJECT_REASONS, conditions))
 
 
-def tag_rejects(df: DataFrame, years=VALID_YEARS) -> DataFrame:
-    """Each row with all its reject reasons; an empty text means accepted."""
+def _broken(years) -> Column:
+    return reduce(or_, reject_rules(years).values())
+
+
+def rejected(df: DataFrame, years=VALID_YEARS) -> DataFrame:
+    """Rows that break a rule, with all their reasons joined in a fixed order."""
     pieces = [
         F.when(bad, F.lit(reason + "; ")).otherwise("") for reason, bad in reject_rules(years).items()
     ]
-    return df.withColumn("error_reason", F.concat(*pieces))
-
+    return df.filter(_broken(years)).withColumn("error_reason", F.concat(*pieces))
 
-def rejected(tagged: DataFrame) -> DataFrame:
-    return tagged.filter("error_reason <> ''")
 
-
-def accepted(tagged: DataFrame) -> DataFrame:
-    return tagged.filter("error_reason = ''").drop("error_reason")
+def accepted(df: DataFrame, years=VALID_YEARS) -> DataFrame:
+    """Rows that break no rule; the conditions are never NULL, so no row is lost."""
+    return df.filter(~_broken(years))
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -97,10 +106,15 @@ def transform(
     unified: DataFrame, states: DataFrame, naming: ReportNaming = DEFAULT_NAMING,
     years=VALID_YEARS,
 ) -> tuple[DataFrame, DataFrame]:
-    """(Silver rows, rejected rows) of a Unified frame, both lazy."""
-    typed = coerce_types(map_state(with_state_code(standardise(unified), naming), states))
-    tagged = tag_rejects(typed.select(*SILVER_COLUMNS), years)
-    return drop_exact_duplicates(accepted(tagged)), rejected(tagged)
+    """(Silver rows, rejected rows) of a Unified frame, both lazy.
+
+    Types are settled before the state lookup: the reject rules then stand above the
+    join and use finished values, where a filter on plain expressions would be pushed
+    down and work them out a second time.
+    """
+    typed = with_state_code(coerce_types(standardise(unified)), naming)
+    rows = map_state(typed, states).select(*SILVER_COLUMNS)
+    return drop_exact_duplicates(accepted(rows, years)), rejected(rows, years)
 
 
 def dedup(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
@@ -144,7 +158,8 @@ def silver_sorted(df: DataFrame) -> DataFrame:
     """Ordered by type, state, value, year, month.
 
     The range split is over the whole key, so a type or state with most of the rows is
-    cut into many tasks, and files written from it have narrow value ranges.
+    cut into many tasks, and files written from it have narrow value ranges. Spark samples
+    the input for the split, so it should be a stored table and not a long plan.
     """
     order = ["dataset_type", "state", "dimension_value", "year", "month"]
     return df.repartitionByRange(*order).sortWithinPartitions(*order)

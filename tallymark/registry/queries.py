@@ -120,19 +120,24 @@ def _as_text(df: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.col(MEASURE).cast("string"), F.lit(" "))).alias(MEASURE))
 
 
-def _tagged(m: Market) -> DataFrame:
-    return silver.tag_rejects(m.dirty(), YEARS)
+def _accepted(m: Market) -> DataFrame:
+    return silver.drop_exact_duplicates(silver.accepted(m.dirty(), YEARS))
 
 
-def _accepted(m: Market) -> DataFrame:
-    return silver.drop_exact_duplicates(silver.accepted(_tagged(m)))
+def _staged(m: Market) -> DataFrame:
+    """Accepted rows as the stage table that the later Silver steps read."""
+    return m.stage("silver-staged", lambda: _accepted(m))
+
+
+def _deduped(m: Market) -> DataFrame:
+    return m.stage("silver-deduped", lambda: silver.dedup(_staged(m)))
 
 
 def _written(m: Market) -> DataFrame:
     path = table_path(m.spark, f"silver-sorted-{m.version()}")
     if path is None:
         return silver.silver_sorted(_accepted(m))
-    tables.write_silver(_accepted(m), path)
+    tables.write_silver(_staged(m), path)
     return tables.read_silver(m.spark, path)
 
 
@@ -155,14 +160,14 @@ SILVER = {
     "extract_state_code": _state_codes,
     "map_state": lambda m: silver.map_state(_state_codes(m), m.states()),
     "coerce_types": lambda m: silver.coerce_types(_as_text(m.dirty())),
-    "reject_rows": lambda m: silver.rejected(_tagged(m)),
+    "reject_rows": lambda m: silver.rejected(m.dirty(), YEARS),
     "drop_exact_duplicates": _accepted,
     "silver_sort_write": _written,
-    "dedup_business_key": lambda m: silver.dedup(_accepted(m)),
+    "dedup_business_key": lambda m: silver.dedup(_staged(m)),
     "dedup_conflicts": lambda m: keys.conflicts(m.dirty(), ["dataset_type", "state_code", "period"]),
-    "dedup_log": lambda m: keys.dedup_summary(_accepted(m)),
-    "load_gate": lambda m: silver.load_gate(silver.dedup(_accepted(m))),
-    "load_gate_violations": lambda m: silver.gate_violations(_accepted(m)),
+    "dedup_log": lambda m: keys.dedup_summary(_staged(m)),
+    "load_gate": lambda m: silver.load_gate(_deduped(m)),
+    "load_gate_violations": lambda m: silver.gate_violations(_staged(m)),
     "silver_load": _csv_round,
     "silver_latest_sample": lambda m: silver.latest_sample(m.dirty()),
 }

@@ -126,13 +126,18 @@ def soil(clean: DataFrame) -> DataFrame:
     and no shuffle is needed.
     """
     h = F.col("_h")
-    copies = F.filter(
-        F.array(
-            F.lit(0), F.when(h % 131 == 0, F.lit(1)), F.when(h % 137 == 0, F.lit(2))),
-        lambda c: c.isNotNull())
+    def listed(*numbers):
+        return F.array(*[F.lit(n) for n in numbers])
+
+    second, third = h % 131 == 0, h % 137 == 0
+    copies = (
+        F.when(second & third, listed(0, 1, 2)).when(second, listed(0, 1))
+        .when(third, listed(0, 2)).otherwise(listed(0)))
     rows = clean.withColumn(
         "_h", row_hash("dataset_type", "state_code", "dimension_value", "period")
-    ).withColumn("_copy", F.explode(copies))
+    ).withColumn("_copy", F.explode_outer(copies))
+    # The outer form: a list that is never empty needs no test, which would draw the
+    # hash again for every row.
     no_state = h % 127 == 0
     return rows.select(
         "dataset_type",
@@ -211,6 +216,14 @@ class Market:
             return reduce(DataFrame.unionByName, [self.compute(g) for g in GRAINS])
         return silver_columns(self.spark.read.schema(SILVER_SCHEMA).parquet(self._silver_path()))
 
+    def stage(self, name: str, build) -> DataFrame:
+        """A Silver-shaped frame, kept as a table where there is a place for it."""
+        path = table_path(self.spark, f"{name}-{self.version()}")
+        if path is None:
+            return build()
+        self.store.ensure(path, build)
+        return silver_columns(self.spark.read.schema(SILVER_SCHEMA).parquet(path))
+
     def fact(self, grain: Grain) -> DataFrame:
         return fact(self.silver_part(grain), grain)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymark.functions.reports import BOM
+from tallymark.plans.bronze import cut
 from tallymark.schemas import MEASURE, REPORT_HEADERS
 from tallymark.sources.market import row_hash
 from tallymark.sources.report_files import split_physical
@@ -84,7 +85,7 @@ def _line_sum(counts) -> Column:
 
 
 def report_lines(silver: DataFrame) -> DataFrame:
-    """(source_file, line_order, line) of every report."""
+    """The rows of a Bronze table of every report."""
     rows = report_rows(silver)
     maker = F.col("dataset_type") == "Manufacturer"
     stated = _line_sum("counts") + F.when(F.col("row_hash") % 53 == 0, 1).otherwise(0)
@@ -144,4 +145,4 @@ def report_lines(silver: DataFrame) -> DataFrame:
         "source_file", "state_code", "block", F.lit(0).alias("row"), "value")
     lines = data.unionByName(framed)
     named = lines.withColumn("source_file", F.explode(_names("source_file"))).drop("state_code")
-    return split_physical(named)
+    return cut(split_physical(named))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallymark.functions.reports import BOM
+from tallymark.functions.reports import BOM, DEFAULT_NAMING, ReportNaming
+from tallymark.plans.bronze import cut
 
-LINE_COLUMNS = ["source_file", "line_order", "line"]
 LINE_SCHEMA = (
-    "source_file string, line_order struct<block: bigint, row: bigint, part: bigint>, line string")
+    "source_file string, dataset_type string, is_national boolean, is_processed boolean, "
+    "line_order struct<block: bigint, row: bigint, part: bigint>, line string, "
+    "cells array<string>")
 
 
 def line_order(block, row, part) -> Column:
@@ -51,8 +53,10 @@ def split_physical(raw: DataFrame) -> DataFrame:
         "line")
 
 
-def scan_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All lines of all CSV files below ``root``, kept as a Parquet table at ``table``.
+def scan_lines(
+    spark: SparkSession, root: str, table: str, naming: ReportNaming = DEFAULT_NAMING,
+) -> DataFrame:
+    """All lines of all CSV files below ``root``, kept as the Bronze table at ``table``.
 
     Files are read line by line, so one of any size is split over tasks. The place of a
     line (start of its split, running number in the task, piece of the physical line) is
@@ -66,6 +70,5 @@ def scan_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
             F.monotonically_increasing_id().alias("row"),
             "value")
     )
-    placed = split_physical(raw)
-    placed.write.mode("overwrite").parquet(table)
+    cut(split_physical(raw), naming).write.mode("overwrite").parquet(table)
     return spark.read.schema(LINE_SCHEMA).parquet(table)
