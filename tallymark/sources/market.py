@@ -186,10 +186,18 @@ class Market:
         return to_silver(cells, t("nation"), grain)
 
     def version(self) -> str:
-        """Changes with the files that the tables consist of; only lists them."""
+        """Changes with the files that the tables consist of: names, sizes and times.
+
+        Reads no contents.
+        """
         if self._listed is None:
-            paths = [f"{self.sf_dir}/{name}.parquet" for name in TABLES]
-            self._listed = digest(*sorted(self.spark.read.text(paths).inputFiles()))
+            files = (
+                self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .load([f"{self.sf_dir}/{name}.parquet" for name in TABLES])
+            )
+            mark = files.agg(
+                F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")))
+            self._listed = digest(*mark.first())
         return self._listed
 
     def _silver_path(self, *parts: str) -> str | None:
