@@ -33,6 +33,9 @@ def session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        # Plans are built by many small calls; noting the source line of each costs more
+        # than the calls do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
