@@ -15,7 +15,9 @@ from tallymark.functions.reports import (
     DEFAULT_NAMING, OTHER, STRICT_MONTH_PATTERN, ReportNaming, expected_header, header_key,
     is_national, month_columns, report_type, split_cells, state_code)
 from tallymark.operators.totals import join_on
-from tallymark.schemas import MEASURE, PLANNED_STATES, REPORT_RANGES, SUMMARY_LABELS, UNIFIED_COLUMNS
+from tallymark.schemas import (
+    MEASURE, NO_HEADER, NO_MONTHS, NO_ROWS, PLANNED_STATES, REPORT_RANGES, SUMMARY_LABELS,
+    UNIFIED_COLUMNS)
 
 
 def classify(files: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> DataFrame:
@@ -150,12 +152,10 @@ def failures(reports: Reports, naming: ReportNaming = DEFAULT_NAMING) -> DataFra
     error = (
         F.when(
             F.col("month_count").isNull(),
-            F.concat(F.lit("Expected column '"), expected_header("dataset_type", naming),
-                     F.lit("' not found")))
+            F.replace(F.lit(NO_HEADER), F.lit("{}"), expected_header("dataset_type", naming)))
         .when(F.col("month_count") == 0,
-              F.concat(F.lit("No monthly columns found in "), F.col("source_file")))
-        .when(~F.col("dated") | (F.coalesce("value_rows", F.lit(0)) == 0),
-              F.lit("No valid rows found after transformation"))
+              F.replace(F.lit(NO_MONTHS), F.lit("{}"), F.col("source_file")))
+        .when(~F.col("dated") | (F.coalesce("value_rows", F.lit(0)) == 0), F.lit(NO_ROWS))
     )
     return state.select(F.col("source_file").alias("file"), error.alias("error")).filter(
         "error IS NOT NULL")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallymark.operators.keys import duplicate_keys
 from tallymark.operators.reconcile import volume
 from tallymark.operators.totals import tag_union
-from tallymark.schemas import CATEGORY, FUEL, GRAINS, MANUFACTURER, MEASURE, Grain
+from tallymark.schemas import CATEGORY, FUEL, GOLD_MESSAGE, GRAINS, MANUFACTURER, MEASURE, Grain
 
 FACT_LEAD = ["date", "year", "month", "month_name", "period", "state_code", "state"]
 
@@ -131,7 +131,7 @@ def gold_status(gold: Gold) -> DataFrame:
         .alias(f"{name}_rows")
         for name in gold.tables()
     ]
-    return counts.agg(*picked).select(F.lit("Gold Model Completed Successfully").alias("status"), "*")
+    return counts.agg(*picked).select(F.lit(GOLD_MESSAGE).alias("status"), "*")
 
 
 def gold_volume(gold: Gold) -> DataFrame:

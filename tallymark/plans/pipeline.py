@@ -10,7 +10,7 @@ from tallymark.functions.reports import DEFAULT_NAMING, ReportNaming
 from tallymark.plans import bronze, quality, reconciliation, silver, views
 from tallymark.plans.gold import Gold, build_gold
 from tallymark.plans.silver import GateError
-from tallymark.schemas import VALID_YEARS
+from tallymark.schemas import SILVER_COLUMNS, UNIFIED_COLUMNS, VALID_YEARS
 from tallymark.sources import tables
 
 
@@ -25,8 +25,9 @@ class Medallion:
     summary: DataFrame
 
 
-def _check(spark, report: DataFrame, stage: str, rows: int, log: str) -> None:
-    entry = quality.stage_result(report, stage, rows)
+def _check(spark, df: DataFrame, report: DataFrame, stage: str, columns, log: str) -> None:
+    errors = quality.schema_errors(df, columns)
+    entry = quality.stage_result(report, stage, df.count(), errors)
     tables.append_log(spark, log, entry)
     if entry["status"] == "FAIL":
         raise GateError(f"{stage} failed: {entry['details']}")
@@ -50,14 +51,15 @@ def run_medallion(
     unified_key = ["dataset_type", "dimension_value", "period", "source_file"]
     unified_report = quality.dq_unified(
         unified.withColumn("date", F.to_date("period")), years, unified_key)
-    _check(spark, unified_report, "unified_validation", unified.count(), log)
+    _check(spark, unified, unified_report, "unified_validation", UNIFIED_COLUMNS, log)
 
     accepted, rejects = silver.transform(silver.unified_names(unified), states, naming, years)
     staged_path, reject_path = f"{folder}/silver_staged", f"{folder}/silver_rejects"
     accepted.write.mode("overwrite").parquet(staged_path)
     rejects.write.mode("overwrite").parquet(reject_path)
     staged = spark.read.parquet(staged_path)
-    _check(spark, quality.dq_silver(staged, years), "silver_validation", staged.count(), log)
+    silver_report = quality.dq_silver(staged, years)
+    _check(spark, staged, silver_report, "silver_validation", SILVER_COLUMNS, log)
 
     silver.require_no_conflicts(staged)
     deduped_path = f"{folder}/silver_deduped"

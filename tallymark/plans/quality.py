@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymark.functions.numbers import rounded
 from tallymark.operators import checks
 from tallymark.operators.checks import Rule, outside, to_rows
 from tallymark.operators.keys import duplicate_records
-from tallymark.schemas import BUSINESS_KEY, MEASURE, SILVER_COLUMNS, VALID_YEARS
+from tallymark.schemas import ALL_PASSED, BUSINESS_KEY, MEASURE, SILVER_COLUMNS, VALID_YEARS
 
 def dq_unified(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
     """Unified validation: everything but NULL text and full duplicates is critical."""
@@ -42,20 +43,47 @@ def dq_profile(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
 
 
 def count_statistics(df: DataFrame) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of the measure."""
-    return df.select(MEASURE).summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+    """Count, mean, deviation, extremes and exact quartiles of the measure.
+
+    Rows are folded to distinct counts first, so the quartiles are taken from one entry
+    per distinct count and not from one per row.
+    """
+    counts = df.filter(F.col(MEASURE).isNotNull())
+    folded = counts.groupBy(MEASURE).agg(F.count("*").alias("n"))
+    points = F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])
+    quartiles = folded.agg(F.percentile(MEASURE, points, F.col("n"))).scalar()
+    moments = counts.agg(
+        F.count("*").alias("value_count"),
+        rounded(F.avg(MEASURE)).alias("mean"),
+        rounded(F.stddev_samp(MEASURE)).alias("stddev"),
+        F.min(MEASURE).alias("min"),
+        F.max(MEASURE).alias("max"))
+    return moments.withColumn("_q", quartiles).select(
+        "value_count", "mean", "stddev", "min",
+        *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
+        "max")
+
+
+def schema_errors(df: DataFrame, required, numeric=("year", "month", MEASURE)) -> list[str]:
+    """Absent columns and columns that should hold numbers and do not."""
+    found = {
+        "missing columns": checks.missing_columns(df, required),
+        "non-numeric columns": checks.non_numeric(df, numeric),
+    }
+    return [f"{what}: {columns}" for what, columns in found.items() if columns]
 
 
-def stage_result(report: DataFrame, stage: str, rows: int) -> dict:
+def stage_result(report: DataFrame, stage: str, rows: int, errors=()) -> dict:
     """Outcome of a (check_name, bad_rows, critical, status) report as a log entry."""
-    failed = report.filter("status = 'FAIL'").select("check_name", "bad_rows").collect()
-    details = "; ".join(f"{r.check_name}: {r.bad_rows}" for r in failed)
+    broken = report.filter("status = 'FAIL'").select("check_name", "bad_rows").collect()
+    failed = [*errors, *[f"{r.check_name}: {r.bad_rows}" for r in broken]]
+    details = "; ".join(failed)
     return {
         "stage": stage,
         "status": "FAIL" if failed else "PASS",
         "rows_checked": rows,
         "critical_error_count": len(failed),
-        "details": details or "All critical checks passed",
+        "details": details or ALL_PASSED,
     }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallymark.operators.reconcile import reconcile, volume
 from tallymark.operators.totals import tag_union
 from tallymark.plans.gold import Gold
-from tallymark.schemas import GRAINS, MEASURE
+from tallymark.schemas import GRAINS, MEASURE, ROWS_DIFFER, ROWS_MATCH, SUMMARY_METRICS
 
 
 def reconcile_by_dataset(silver: DataFrame, gold: Gold) -> DataFrame:
@@ -68,13 +68,11 @@ def validation_summary(silver: DataFrame, gold: Gold) -> DataFrame:
             value.cast("string").alias("metric_value"),
             status.alias("status"))
 
-    return figures.select(F.inline(F.array(
-        entry("Silver Records Processed", F.col("n"), F.lit("PASS")),
-        entry("Silver Vehicle-Count Total", F.col("total"), F.lit("PASS")),
-        entry("Data Quality Errors", F.col("errors"),
-              F.when(F.col("errors") == 0, "PASS").otherwise("CHECK")),
-        entry("Reconciliation Status",
-              F.when(same, "Silver-Gold row counts match")
-              .otherwise("Row count mismatch - review"),
-              F.when(same, "PASS").otherwise("FAIL")),
-    )))
+    outcomes = [
+        (F.col("n"), F.lit("PASS")),
+        (F.col("total"), F.lit("PASS")),
+        (F.col("errors"), F.when(F.col("errors") == 0, "PASS").otherwise("CHECK")),
+        (F.when(same, ROWS_MATCH).otherwise(ROWS_DIFFER), F.when(same, "PASS").otherwise("FAIL")),
+    ]
+    entries = [entry(name, *outcome) for name, outcome in zip(SUMMARY_METRICS, outcomes)]
+    return figures.select(F.inline(F.array(*entries)))

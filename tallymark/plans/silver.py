@@ -128,7 +128,7 @@ def require_no_conflicts(df: DataFrame, key=BUSINESS_KEY) -> None:
     if found:
         sample = "; ".join(str(r.asDict()) for r in found)
         raise GateError(
-            "Conflicting vehicle counts found. Deduplication stopped for data safety. " + sample)
+            "Copies of a business key disagree on the count; none was removed: " + sample)
 
 
 def drop_aggregates(df: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def load_gate(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
     if found.g:
         sample = [r.asDict() for r in gate_violations(df, key).limit(20).collect()]
         raise GateError(
-            f"Duplicate business keys found: {found.n} rows across {found.g} groups. {sample}")
+            f"Business keys are repeated: {found.n} rows in {found.g} groups, such as {sample}")
     return loadable
 
 

@@ -433,6 +433,12 @@ oracle("invalid_years", ["dirty"], "SELECT count(*) AS invalid_years FROM dirty
 oracle("invalid_months", ["dirty"], "SELECT count(*) AS invalid_months FROM dirty WHERE month < 1 OR month > 12")
 oracle("null_profile", ["dirty"], "SELECT " + ", ".join(
     f"{count_if(cond)} AS {name}" for name, cond in _NULLS.items()) + " FROM dirty")
+oracle("count_statistics", ["dirty"], f"""
+SELECT count(vehicle_count) AS value_count, {rounded('avg(vehicle_count)')} AS mean,
+       {rounded('stddev_samp(vehicle_count)')} AS stddev, min(vehicle_count) AS min,
+       CAST(quantile_cont(vehicle_count, 0.25) AS DOUBLE) AS p25,
+       CAST(quantile_cont(vehicle_count, 0.5) AS DOUBLE) AS p50,
+       CAST(quantile_cont(vehicle_count, 0.75) AS DOUBLE) AS p75, max(vehicle_count) AS max FROM dirty""")
 oracle("silver_metric_rows", ["dirty"], f"""
 SELECT 'SILVER_TOTAL_ROWS' AS metric, count(*) AS value FROM dirty
 UNION ALL SELECT 'SILVER_TOTAL_VEHICLES', {total()} FROM dirty

@@ -210,6 +210,7 @@ QUALITY = {
     "negative_counts": lambda m: quality.negative_counts(m.dirty()),
     "invalid_years": lambda m: quality.invalid_years(m.dirty(), YEARS),
     "invalid_months": lambda m: quality.invalid_months(m.dirty()),
+    "count_statistics": lambda m: quality.count_statistics(m.dirty()),
     "null_profile": lambda m: quality.null_profile(m.dirty()),
     "silver_metric_rows": lambda m: quality.silver_metric_rows(m.dirty()),
 }

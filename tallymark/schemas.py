@@ -155,6 +155,23 @@ INDIA_STATES = {
 UNPLANNED_CODES = ["ct", "dn", "od", "ts"]
 PLANNED_STATES = [code for code in INDIA_STATES if code not in UNPLANNED_CODES]
 
+# What is said about a report that gives no rows.
+NO_HEADER = "Expected column '{}' not found"
+NO_MONTHS = "No monthly columns found in {}"
+NO_ROWS = "No valid rows found after transformation"
+
+# Names and messages in the summaries of a run.
+GOLD_MESSAGE = "Gold Model Completed Successfully"
+SUMMARY_METRICS = [
+    "Silver Records Processed",
+    "Silver Vehicle-Count Total",
+    "Data Quality Errors",
+    "Reconciliation Status",
+]
+ROWS_MATCH = "Silver-Gold row counts match"
+ROWS_DIFFER = "Row count mismatch - review"
+ALL_PASSED = "All critical checks passed"
+
 # Reject reasons in the order in which they are joined.
 REJECT_REASONS = [
     "Invalid year",

@@ -67,7 +67,7 @@ def test_dedup_keeps_the_smallest_source(market, rows):
 
 def test_conflicting_counts_stop_the_run(market):
     df = market([("Fuel", "an", "A", "2016-01", 5, "a"), ("Fuel", "an", "A", "2016-01", 6, "b")])
-    with pytest.raises(silver.GateError, match="Conflicting vehicle counts"):
+    with pytest.raises(silver.GateError, match="disagree on the count"):
         silver.require_no_conflicts(df)
     assert keys.conflicts(df).count() == 1
 
@@ -76,7 +76,7 @@ def test_load_gate(market, rows):
     repeated = [("Fuel", None, "A", "2016-01", 5, "a"), ("Fuel", None, "A", "2016-01", 5, "b")]
     sums = [("Fuel", "an", "Total", "2016-01", 9, "a"), ("Fuel", "an", "grand total", "2016-01", 9, "a"),
             ("Fuel", "an", "Total", "2016-01", 9, "b")]
-    with pytest.raises(silver.GateError, match="2 rows across 1 groups"):
+    with pytest.raises(silver.GateError, match="2 rows in 1 groups"):
         silver.load_gate(market(repeated))
     kept = silver.load_gate(market(sums + [("Fuel", "an", "B", "2016-01", 1), ("Fuel", "an", None, "2016-01", 1)]))
     assert rows(kept, "dimension_value") == [("B",), (None,)]
@@ -148,3 +148,19 @@ def test_non_numeric_columns(spark):
 
 def test_keys_are_the_five_columns():
     assert BUSINESS_KEY == ["dataset_type", "state_code", "dimension_value", "period", "date"]
+
+
+def test_schema_errors_reach_the_log(spark, market):
+    df = market([("Fuel", "an", "A", "2016-01", 5)])
+    broken = df.drop("month_name").withColumn("year", F.col("year").cast("string"))
+    errors = quality.schema_errors(broken, SILVER_COLUMNS)
+    assert errors == ["missing columns: ['month_name']", "non-numeric columns: ['year']"]
+    entry = quality.stage_result(quality.dq_silver(df), "silver_validation", 1, errors)
+    assert entry["status"] == "FAIL" and entry["critical_error_count"] == 2
+
+
+def test_count_statistics(market):
+    df = market([("Fuel", "an", f"V{i}", "2016-01", n) for i, n in enumerate([1, 2, 3, 4, None, 10])])
+    assert tuple(quality.count_statistics(df).first()) == (5, 4.0, 3.54, 1, 2.0, 3.0, 4.0, 10)
+    one = quality.count_statistics(market([("Fuel", "an", "A", "2016-01", 7)])).first()
+    assert (one.mean, one.stddev, one.p50) == (7.0, None, 7.0)
