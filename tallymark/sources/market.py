@@ -236,7 +236,8 @@ class Market:
         return fact(self.silver_part(grain), grain)
 
     def dirty(self) -> DataFrame:
-        return soil(self.silver())
+        """The market with known faults, as the stage table that the checks read."""
+        return self.stage("silver-soiled", lambda: soil(self.silver()))
 
     def report_lines(self) -> DataFrame:
         """The Bronze table: the market as lines of report text."""
