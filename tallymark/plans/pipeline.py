@@ -69,7 +69,9 @@ def run_medallion(
     tables.write_silver(loadable, silver_path)
     loaded = tables.read_silver(spark, silver_path)
 
-    gold = build_gold(loaded)
+    planned = build_gold(loaded)
+    tables.write_gold(planned, f"{folder}/gold")
+    gold = tables.read_gold(spark, f"{folder}/gold", planned)
     if with_views:
         views.register_views(gold)
     summary_path = f"{folder}/validation_summary"

@@ -299,7 +299,7 @@ ANALYTICS = {
 
 def _medallion(m: Market) -> DataFrame:
     """The closing summary of a whole run over the rendered reports."""
-    folder = table_path(m.spark, f"medallion-{m.version()}-{m.store.next_number()}")
+    folder = table_path(m.spark, f"medallion-{m.version()}")
     if folder is None:
         raise RuntimeError("a run keeps its tables in the folder named by spark.checkpoint.dir")
     return pipeline.run_medallion(

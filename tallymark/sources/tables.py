@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallymark.plans.gold import Gold
 from tallymark.plans.silver import silver_sorted
 from tallymark.schemas import DQ_LOG_SCHEMA, SILVER_SCHEMA
 
@@ -17,6 +20,28 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER_SCHEMA).parquet(path).select(*SILVER_SCHEMA.fieldNames())
 
 
+def write_gold(gold: Gold, folder: str) -> None:
+    """Replace the eight Gold tables below ``folder``.
+
+    Facts keep the order of Silver, so their files still have narrow value ranges.
+    """
+    def write(item):
+        name, df = item
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    # The tables do not depend on each other; small ones need not wait for large ones.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, gold.tables().items()))
+
+
+def read_gold(spark: SparkSession, folder: str, like: Gold) -> Gold:
+    """The written tables, with the types of ``like``."""
+    return Gold(**{
+        name: spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        for name, df in like.tables().items()
+    })
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Exchange files: quoted text, header line, NULL as the word NULL."""
     (

@@ -38,6 +38,10 @@ def test_whole_run(spark, tmp_path, bronze_dir, rows):
     assert done.failures.count() == 0
     assert rows(read_log(spark, str(tmp_path / "run" / "dq_log")), "stage", "status") == [
         ("silver_validation", "PASS"), ("unified_validation", "PASS")]
+    # Gold is read from its own tables: a row lost there shows in the reconciliation.
+    files = done.gold.fact_fuel.inputFiles()
+    assert files and all("/run/gold/fact_fuel/" in f for f in files)
+    assert rows(done.gold.dim_state) == [("an", "Andaman and Nicobar Islands")]
     assert spark.sql("select total_vehicles from vw_manufacturer_totals").first()[0] == 9
 
 
