@@ -7,12 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymark.llm import licenses, lines
 from tallymark.llm.bpe import encoded
 from tallymark.llm.common import table
+from tallymark.llm.decontam import matches
 from tallymark.llm.quality import quality_report
 from tallymark.llm.rans import read_files, write_files
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, removed boilerplate lines and the digest of what stays, of every document."""
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates found in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, their digest and the digest of the decoded bytes of every document."""
     return encoded(table(spark, sf_dir, "documents"),
@@ -20,6 +32,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                    public_tokenizers.PATTERN, ["doc_id"])
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and test item within the error budget."""
+    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written and reread token files say of every document."""
     return read_files(*write_files(table(spark, sf_dir, "documents"),
@@ -35,11 +52,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
+        "op4_license_scan": op4_license_scan,
         "op5_bpe": op5_bpe,
+        "op6_decontamination": op6_decontamination,
         "op7_token_files": op7_token_files,
         "op10_quality": op10_quality,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": lines.oracle(), "op4_license_scan": licenses.oracle()}
