@@ -11,6 +11,7 @@ from tallymark.llm import licenses, lines
 from tallymark.llm.bpe import encoded
 from tallymark.llm.common import table
 from tallymark.llm.decontam import matches
+from tallymark.llm.minhash import near_classes
 from tallymark.llm.quality import quality_report
 from tallymark.llm.rans import read_files, write_files
 
@@ -43,6 +44,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, divergence and verdict of every document."""
     return quality_report(table(spark, sf_dir, "documents")).select(
@@ -57,6 +63,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe": op5_bpe,
         "op6_decontamination": op6_decontamination,
         "op7_token_files": op7_token_files,
+        "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
     }
 
