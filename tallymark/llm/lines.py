@@ -117,8 +117,16 @@ def line_report(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 
 
 def without_boilerplate(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """The documents with their columns, boilerplate lines taken out."""
-    return cleaned(docs, rules).select(*docs.columns)
+    """The documents with their columns, boilerplate lines taken out.
+
+    Where lines went, a column ``n_chars`` tells the new length.
+    """
+    done = cleaned(docs, rules)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        done = done.withColumn("n_chars", F.when(
+            F.col("__removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return done.select(*docs.columns)
 
 
 def oracle(rules: LineRules = LineRules()) -> str:
