@@ -11,6 +11,7 @@ from tallymark.llm import licenses, lines
 from tallymark.llm.bpe import encoded
 from tallymark.llm.common import table
 from tallymark.llm.decontam import matches
+from tallymark.llm.langid import held_out_report
 from tallymark.llm.minhash import near_classes
 from tallymark.llm.quality import quality_report
 from tallymark.llm.rans import read_files, write_files
@@ -21,6 +22,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside the held-out third."""
+    return held_out_report(table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates found in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -59,6 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op3_language_id": op3_language_id,
         "op4_license_scan": op4_license_scan,
         "op5_bpe": op5_bpe,
         "op6_decontamination": op6_decontamination,
