@@ -15,6 +15,7 @@ from tallymark.llm.langid import held_out_report
 from tallymark.llm.minhash import near_classes
 from tallymark.llm.quality import quality_report
 from tallymark.llm.rans import read_files, write_files
+from tallymark.llm.repeats import removed
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated 100-byte strings."""
+    return removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return near_classes(table(spark, sf_dir, "documents"))
@@ -70,6 +76,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe": op5_bpe,
         "op6_decontamination": op6_decontamination,
         "op7_token_files": op7_token_files,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
     }
