@@ -54,21 +54,39 @@ def flags(raw: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
 
 
-def answered(messages: DataFrame, reply: Callable[[list[dict]], list[bytes]], name: str) -> DataFrame:
-    """(block, answers): all answers to a block, in order of the shards, as one array.
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, so that small ones compress well."""
+    width = values.dtype.itemsize
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes()
 
-    ``messages`` has ``shard``, ``block`` and further binary columns; ``reply`` gets the
-    messages of one shard in order of the blocks and gives one answer to each.
+
+def from_planes(raw: bytes, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    whole = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(whole.T).view(dtype).ravel()
+
+
+def replies(messages: DataFrame, reply: Callable[[list[dict]], tuple[list[bytes], int]],
+            name: str) -> DataFrame:
+    """(block, shard, answer, figure) of every message.
+
+    ``messages`` has ``shard``, ``block`` and further columns; ``reply`` gets the messages of one
+    shard in order of the blocks and gives one answer to each, and one figure of the shard.
     """
     def run(group: pa.Table) -> pa.Table:
         rows = sorted(group.to_pylist(), key=lambda r: r["block"])
-        answers = reply(rows)
+        answers, figure = reply(rows)
         return pa.table({"block": pa.array([r["block"] for r in rows], pa.int64()),
                          "shard": pa.array([r["shard"] for r in rows], pa.int32()),
-                         "answer": pa.array(answers, pa.binary())})
+                         "answer": pa.array(answers, pa.binary()),
+                         "figure": pa.array([figure] * len(rows), pa.int64())})
+
+    return staged(messages.groupBy("shard").applyInArrow(
+        run, "block long, shard int, answer binary, figure long"), name)
+
 
-    replies = staged(messages.groupBy("shard").applyInArrow(
-        run, "block long, shard int, answer binary"), name)
-    return replies.groupBy("block").agg(F.transform(
+def gathered(answers: DataFrame, column: str = "answers") -> DataFrame:
+    """(block, answers): all answers to a block in order of the shards."""
+    return answers.groupBy("block").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("shard", "answer"))), lambda x: x["answer"])
-        .alias("answers"))
+        .alias(column))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymark.llm import licenses, lines
 from tallymark.llm.bpe import encoded
 from tallymark.llm.common import table
 from tallymark.llm.decontam import matches
-from tallymark.llm.langid import held_out_report
+from tallymark.llm.langid import held_out_report, remainder
+from tallymark.llm.lm import scored
 from tallymark.llm.minhash import near_classes
 from tallymark.llm.quality import quality_report
 from tallymark.llm.rans import read_files, write_files
@@ -23,6 +24,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and unigram scores of every document, learned outside the held-out tenth."""
+    return scored(table(spark, sf_dir, "documents").withColumn(
+        "held_out", remainder(F.col("doc_id"), 10) == 0))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned outside the held-out third."""
     return held_out_report(table(spark, sf_dir, "documents"))
@@ -71,6 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_language_id": op3_language_id,
         "op4_license_scan": op4_license_scan,
         "op5_bpe": op5_bpe,

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymark.llm.common import ship, staged, text_bytes
 from tallymark.llm.exchange import (
-    U, answered, bits, flags, packed, shard_count, shard_cuts, unpacked)
+    U, bits, flags, gathered, packed, replies, shard_count, shard_cuts, unpacked)
 from tallymark.llm.minhash import mixed
 
 LENGTH = 100
@@ -136,7 +136,7 @@ def first_places(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return distinct, first, is_first
 
 
-def tell_repeated(rows: list[dict]) -> list[bytes]:
+def tell_repeated(rows: list[dict]) -> tuple[list[bytes], int]:
     """For each name of each message whether it is at two places or more in all of them."""
     parts = [unpacked(r["names"]) for r in rows]
     names = np.concatenate(parts)
@@ -145,15 +145,15 @@ def tell_repeated(rows: list[dict]) -> list[bytes]:
     repeated = counts > 1
     repeated[inverse[many]] = True
     cuts = np.cumsum([len(p) for p in parts])[:-1]
-    return [bits(f) for f in np.split(repeated[inverse], cuts)]
+    return [bits(f) for f in np.split(repeated[inverse], cuts)], len(counts)
 
 
-def tell_later(rows: list[dict]) -> list[bytes]:
+def tell_later(rows: list[dict]) -> tuple[list[bytes], int]:
     """For each name of each message whether an earlier block has it too."""
     parts = [unpacked(r["names"]) for r in rows]
     _, _, is_first = first_places(np.concatenate(parts))
     cuts = np.cumsum([len(p) for p in parts])[:-1]
-    return [bits(f) for f in np.split(~is_first, cuts)]
+    return [bits(f) for f in np.split(~is_first, cuts)], int(is_first.sum())
 
 
 BLOCK_ROWS = ("block long, ids array<long>, keys array<binary>, lengths array<long>, data binary")
@@ -241,8 +241,8 @@ def removed(docs: DataFrame) -> DataFrame:
                 block, _ = _opened(row)
                 yield _messages(row["block"], shards, *block.picks())
 
-    repeated = answered(known.mapInArrow(
-        ask_picks, "shard int, block long, names binary, many binary"), tell_repeated, "repeated")
+    repeated = gathered(replies(known.mapInArrow(
+        ask_picks, "shard int, block long, names binary, many binary"), tell_repeated, "repeated"))
 
     def ask_windows(batches):
         for batch in batches:
@@ -252,8 +252,8 @@ def removed(docs: DataFrame) -> DataFrame:
                 _, windows = block.remaining(names, _told(names, shards, row["answers"] or []))
                 yield _messages(row["block"], shards, np.unique(windows), None)
 
-    later = answered(known.join(repeated, "block").mapInArrow(
-        ask_windows, "shard int, block long, names binary"), tell_later, "later")
+    later = gathered(replies(known.join(repeated, "block").mapInArrow(
+        ask_windows, "shard int, block long, names binary"), tell_later, "later"), "later")
 
     def finish(batches):
         for batch in batches:
@@ -268,7 +268,7 @@ def removed(docs: DataFrame) -> DataFrame:
                 yield _result(row, block, places[gone], skip)
 
     return known.join(repeated, "block", "left").join(
-        later.withColumnRenamed("answers", "later"), "block", "left").mapInArrow(
+        later, "block", "left").mapInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                 "kept binary")
 
