@@ -20,11 +20,12 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import ship, text_bytes
+from tallymark.llm.common import extended, ship, text_bytes
 from tallymark.llm.pieces import PieceMemo
 
 SPREAD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
+RESULTS = ("n_tokens", "ids_sha256", "decoded_sha256", "token_ids")
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -165,6 +166,8 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, keep: list[str],
             with_ids: bool = False) -> DataFrame:
     """Columns ``keep`` of every row, the number of ids, digests and (if asked) the ids.
 
+    A kept column with the name of a result gives way to it.
+
     The vocabulary is a file of fixed size and goes to the workers with the task.
     """
     ship(docs.sparkSession)
@@ -194,10 +197,11 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, keep: list[str],
             yield pa.RecordBatch.from_arrays(
                 batch.columns[:-1] + extra, names=batch.schema.names[:-1] + names)
 
+    outputs = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (
+        ", token_ids array<int>" if with_ids else "")
+    keep = [c for c in keep if c.lower() not in RESULTS]
     kept = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
-    types = "".join(f"k{i} {f.dataType.simpleString()}, " for i, f in enumerate(kept.schema))
     done = docs.select(
         *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], text_bytes().alias("text_bytes")
-    ).mapInArrow(run, types + "n_tokens long, ids_sha256 string, decoded_sha256 string"
-                 + (", token_ids array<int>" if with_ids else ""))
+    ).mapInArrow(run, extended(kept, outputs))
     return done.withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})

@@ -6,6 +6,7 @@ import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 #: Bytes of text that a task works on at a time.
@@ -60,6 +61,11 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def extended(kept: DataFrame, added: str) -> StructType:
+    """The columns of ``kept`` followed by those of a schema text."""
+    return StructType([*kept.schema.fields, *StructType.fromDDL(added).fields])
+
+
 def by_size(values: list[bytes], limit: int = CHUNK_BYTES):
     """Ranges (start, end) of consecutive values with about ``limit`` bytes each."""
     start = size = 0

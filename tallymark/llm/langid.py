@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallymark.llm.common import by_size, ship, text_bytes
+from tallymark.llm.common import by_size, extended, ship, text_bytes
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -292,9 +292,8 @@ def predicted(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
                 names=batch.schema.names[:-1] + ["lang_pred", "score"])
 
     kept = docs.select(*keep)
-    types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema)
     return docs.select(*keep, text_bytes().alias("raw")).mapInArrow(
-        run, types + "lang_pred string, score double")
+        run, extended(kept, "lang_pred string, score double"))
 
 
 def held_out_report(docs: DataFrame, how: Training = Training(), parts: int = 3,

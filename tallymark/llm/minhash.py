@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import by_size, ship, staged
+from tallymark.llm.common import by_size, extended, ship, staged
 from tallymark.llm.components import components
 
 U = np.uint64
@@ -159,9 +159,9 @@ def signed(docs: DataFrame, rules: NearRules) -> DataFrame:
                                   for row, key in zip(bands, content)], pa.list_(pa.int64()))],
                     names=whole.schema.names + ["__key", "__bands"])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, types + ", __key binary, __bands array<long>").withColumn(
-        "__row", F.monotonically_increasing_id())
+    return docs.mapInArrow(
+        run, extended(docs, "__key binary, __bands array<long>")
+    ).withColumn("__row", F.monotonically_increasing_id())
 
 
 def payloads(rows: DataFrame, width: int) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymark.llm.common import by_size, ship, staged, text_bytes
+from tallymark.llm.common import by_size, extended, ship, staged, text_bytes
 
 # Common words of the languages.
 COMMON_WORDS = (
@@ -164,10 +164,9 @@ def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
                     own.columns[:-1] + stats.columns, names=own.schema.names[:-1] + STATS.names)
 
     kept = docs.select(*keep)
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return docs.select(*keep, text_bytes().alias("text_bytes")).mapInArrow(
-        run, f"{types}, n_words long, n_chars long, word_chars long, n_symbols long, n_dup_lines long, "
-             "n_repeat_words long, class_counts array<long>, word_counts array<long>")
+        run, extended(kept, "n_words long, n_chars long, word_chars long, n_symbols long, n_dup_lines long, "
+             "n_repeat_words long, class_counts array<long>, word_counts array<long>"))
 
 
 def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -197,7 +196,8 @@ def references(stats: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, keep: list[str], rules: Rules = Rules()) -> DataFrame:
-    """Columns ``keep``, the base counts, both distances, ``base_failed`` and ``kept``."""
+    """Columns ``keep`` as ``k0``, ``k1`` and so on, the base counts, both distances and the
+    verdict; so named, no column of the documents clashes with a result."""
     named = docs.withColumn("lang", F.col("lang").cast("string")) if "lang" in docs.columns \
         else docs.withColumn("lang", F.lit(None).cast("string"))
     stats = staged(with_stats(named.select(
@@ -213,9 +213,8 @@ def judged(docs: DataFrame, keep: list[str], rules: Rules = Rules()) -> DataFram
         F.col("word_distance") > _limit(
             rules.word_floor, rules.word_base, rules.word_slack, F.col("n_words")))
     return compared.select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"),
+        *[f"k{i}" for i in range(len(keep))], "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", failed.alias("base_failed"),
         (~failed & ~F.coalesce(odd_class, F.lit(False)) & ~F.coalesce(odd_words, F.lit(False)))
         .alias("kept"), "class_distance", "word_distance")
 
@@ -246,13 +245,13 @@ def _joined(stats: DataFrame) -> DataFrame:
                 batch.columns[:-4] + [pa.array(d, pa.float64(), from_pandas=True) for d in found],
                 names=batch.schema.names[:-4] + ["class_distance", "word_distance"])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return wide.mapInArrow(run, types + ", class_distance double, word_distance double")
+    return wide.mapInArrow(
+        run, extended(kept, "class_distance double, word_distance double"))
 
 
 def quality_report(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per document row: ``doc_id``, counts, distances and the verdict."""
-    return judged(docs, ["doc_id"], rules)
+    return judged(docs, ["doc_id"], rules).withColumnRenamed("k0", "doc_id")
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -261,4 +260,5 @@ def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     The verdict is computed beside the row and not joined back, so that repeated ids and
     null ids keep their own verdict.
     """
-    return judged(docs, docs.columns, rules).where("kept").select(*docs.columns)
+    return judged(docs, docs.columns, rules).where("kept").select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
