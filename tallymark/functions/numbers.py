@@ -30,10 +30,22 @@ def count_of(text) -> Column:
     return F.coalesce(_whole_text(text), F.round(number(text), 0).try_cast("bigint"))
 
 
+def beyond_bigint(text) -> Column:
+    """Whether text is a finite number that no bigint holds."""
+    n = as_column(text).cast("string").try_cast("double")
+    return F.coalesce((F.abs(n) >= F.lit(2.0 ** 63)) & (F.abs(n) < F.lit(float("inf"))), F.lit(False))
+
+
 def count_or_zero(text) -> Column:
-    """Report cell as a count: text that is no number and negatives become 0."""
+    """Report cell as a count: text that is no number and negatives become 0.
+
+    A count too large for a bigint becomes NULL, which the row rules list; 0 would pass as data.
+    """
     zero = F.lit(0).cast("bigint")
-    return F.greatest(F.coalesce(count_of(text), zero), zero)
+    plain = _whole_text(text)
+    odd = F.when(beyond_bigint(text) & ~as_column(text).startswith("-"), F.lit(None).cast("bigint")
+                 ).otherwise(F.greatest(F.coalesce(count_of(text), zero), zero))
+    return F.when(plain.isNotNull(), F.greatest(plain, zero)).otherwise(odd)
 
 
 def rounded(value, scale: int = 2) -> Column:

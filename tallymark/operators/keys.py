@@ -53,6 +53,14 @@ def dedup_summary(df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE) -> Da
         F.count_if("conflicting").alias("conflicting_value_groups"))
 
 
+def multi_source_keys(df: DataFrame, key=BUSINESS_KEY, source: str = "source_file") -> DataFrame:
+    """Repeated keys whose copies come from several sources, as counts and without lists."""
+    return df.groupBy(*key, source).agg(F.count("*").alias("_n")).groupBy(*key).agg(
+        F.sum(F.when(F.col(source).isNotNull(), F.col("_n")).otherwise(0)).cast("bigint")
+        .alias("duplicate_row_count"),
+        F.count(source).alias("unique_source_files")).filter("unique_source_files > 1")
+
+
 def overlap_sources(
     df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE, source: str = "source_file",
 ) -> DataFrame:

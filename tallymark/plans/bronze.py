@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymark.functions.numbers import count_or_zero, number
+from tallymark.functions.numbers import count_of, count_or_zero, number
 from tallymark.functions.reports import (
     DEFAULT_NAMING, OTHER, STRICT_MONTH_PATTERN, ReportNaming, expected_header, header_key,
     is_national, month_columns, report_type, split_cells, state_code)
@@ -199,7 +199,10 @@ def structure_summary(reports: Reports, expected: dict[str, int] | None = None)
 
 
 def total_reconcile(reports: Reports) -> DataFrame:
-    """Months against the stated Total, by row (ROW) and by month column (COLUMN)."""
+    """Months against the stated Total, by row (ROW) and by month column (COLUMN).
+
+    A stated total or a cell that is no whole number in range gives NULL and CHECK.
+    """
     rows = body(reports).withColumn("value", F.element_at("cells", 1)).filter("value <> ''")
     total_at = F.array_position("header", "Total")
     month_sum = F.aggregate(
@@ -208,7 +211,7 @@ def total_reconcile(reports: Reports) -> DataFrame:
     by_row = rows.filter(total_at > 0).select(
         "source_file", F.lit("ROW").alias("direction"), F.col("value").alias("item"),
         month_sum.alias("month_sum"),
-        number(F.get("cells", (total_at - 1).cast("int"))).cast("bigint").alias("stated_total"))
+        count_of(F.get("cells", (total_at - 1).cast("int"))).alias("stated_total"))
     cells = unpivot_months(rows).withColumn("n", count_or_zero("cell"))
     is_total = is_summary_row(F.col("dimension_value"))
     by_column = (
@@ -255,14 +258,17 @@ def _claimed_years(text, pattern: str):
 def title_lineage(reports: Reports) -> DataFrame:
     """Years claimed by title and file name against the years of the month columns.
 
-    The title is the first line before the header that is not blank.
+    The title is the first line before the header that is not blank. That is the file's first
+    line that is not blank, found by an aggregate with a map-side part: no line is shuffled.
     """
+    first = (
+        not_blank(reports).groupBy("source_file")
+        .agg(F.min(F.struct("line_order", F.array_join("cells", ",").alias("title"))).alias("t"))
+        .select("source_file", "t.line_order", "t.title")
+    )
     titles = (
-        not_blank(reports)
-        .join(reports.headers.select("source_file", "header_order"), "source_file")
-        .filter(F.col("line_order") < F.col("header_order"))
-        .groupBy("source_file")
-        .agg(F.min_by(F.array_join("cells", ","), "line_order").alias("title"))
+        first.join(reports.headers.select("source_file", "header_order"), "source_file")
+        .filter(F.col("line_order") < F.col("header_order")).select("source_file", "title")
     )
     found = F.transform("months", lambda m: m["year"])
     heads = reports.headers.select(

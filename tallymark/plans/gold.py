@@ -132,7 +132,3 @@ def gold_status(gold: Gold) -> DataFrame:
         for name in gold.tables()
     ]
     return counts.agg(*picked).select(F.lit(GOLD_MESSAGE).alias("status"), "*")
-
-
-def gold_volume(gold: Gold) -> DataFrame:
-    return volume(gold.tagged(), ["table_name"])

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymark.functions.reports import DEFAULT_NAMING, ReportNaming
+from tallymark.operators import keys
 from tallymark.plans import bronze, quality, reconciliation, silver, views
 from tallymark.plans.gold import Gold, build_gold
 from tallymark.plans.silver import GateError
@@ -16,12 +18,16 @@ from tallymark.sources import tables
 
 @dataclass(frozen=True)
 class Medallion:
-    """What a run leaves: the Silver table, Gold over it, rejects, failures, summary."""
+    """What a run leaves: Silver, Gold over it, what was refused and why, and the checks."""
 
+    path: str
     silver: DataFrame
     gold: Gold
     rejects: DataFrame
     failures: DataFrame
+    structure: DataFrame
+    dedup_log: DataFrame
+    reconciliation: dict[str, DataFrame]
     summary: DataFrame
 
 
@@ -39,45 +45,56 @@ def run_medallion(
 ) -> Medallion:
     """Consolidate, transform, validate, remove repeats, load, build Gold, reconcile.
 
-    Tables go below ``folder``, which all executors must reach. A stage that fails
-    raises and leaves the later tables untouched. Unified and Silver are written once
-    and then read by every check, so no check computes the reports again.
+    A run writes its tables to a new folder below ``folder``, which all executors must
+    reach, and is published by one row appended after the last check. A stage that fails
+    raises: what was published before stays as it is. Every table is written once and
+    then read by all checks, so no check computes the reports again.
     """
+    run = f"{folder}/run-{uuid.uuid4().hex[:12]}"
     log = f"{folder}/dq_log"
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = f"{run}/{name}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     reports = bronze.parse(lines, naming)
-    unified_path = f"{folder}/unified"
-    bronze.unify(reports).write.mode("overwrite").parquet(unified_path)
-    unified = spark.read.parquet(unified_path)
+    failures = kept(bronze.failures(reports, naming), "failures")
+    structure = kept(bronze.structure_check(reports), "structure")
+    unified = kept(bronze.unify(reports), "unified")
     unified_key = ["dataset_type", "dimension_value", "period", "source_file"]
     unified_report = quality.dq_unified(
         unified.withColumn("date", F.to_date("period")), years, unified_key)
     _check(spark, unified, unified_report, "unified_validation", UNIFIED_COLUMNS, log)
 
-    accepted, rejects = silver.transform(silver.unified_names(unified), states, naming, years)
-    staged_path, reject_path = f"{folder}/silver_staged", f"{folder}/silver_rejects"
-    accepted.write.mode("overwrite").parquet(staged_path)
-    rejects.write.mode("overwrite").parquet(reject_path)
-    staged = spark.read.parquet(staged_path)
-    silver_report = quality.dq_silver(staged, years)
-    _check(spark, staged, silver_report, "silver_validation", SILVER_COLUMNS, log)
-
-    silver.require_no_conflicts(staged)
-    deduped_path = f"{folder}/silver_deduped"
-    silver.dedup(staged).write.mode("overwrite").parquet(deduped_path)
-    loadable = silver.load_gate(spark.read.parquet(deduped_path))
-    silver_path = f"{folder}/silver"
-    tables.write_silver(loadable, silver_path)
-    loaded = tables.read_silver(spark, silver_path)
+    accepted, rejected = silver.transform(silver.unified_names(unified), states, naming, years)
+    staged, rejects = kept(accepted, "silver_staged"), kept(rejected, "silver_rejects")
+    _check(spark, staged, quality.dq_silver(staged, years), "silver_validation", SILVER_COLUMNS, log)
+
+    dedup_log = kept(keys.dedup_summary(staged), "dedup_log")
+    if dedup_log.filter("conflicting_value_groups > 0").limit(1).count():
+        silver.require_no_conflicts(staged)
+    loadable = silver.load_gate(kept(silver.dedup(staged), "silver_deduped"))
+    tables.write_silver(loadable, f"{run}/silver")
+    loaded = tables.read_silver(spark, f"{run}/silver")
 
     planned = build_gold(loaded)
-    tables.write_gold(planned, f"{folder}/gold")
-    gold = tables.read_gold(spark, f"{folder}/gold", planned)
-    if with_views:
-        views.register_views(gold)
-    summary_path = f"{folder}/validation_summary"
+    tables.write_gold(planned, f"{run}/gold")
+    gold = tables.read_gold(spark, f"{run}/gold", planned)
+    checks = {
+        "by_dataset": kept(reconciliation.reconcile_by_dataset(loaded, gold), "reconcile_by_dataset"),
+        "overall": kept(reconciliation.reconcile_overall(loaded, gold), "reconcile_overall"),
+        "metrics": kept(reconciliation.reconcile_metrics(loaded, gold), "reconcile_metrics"),
+    }
+    summary_path = f"{run}/validation_summary"
     tables.replace_summary(reconciliation.validation_summary(loaded, gold), summary_path)
     summary = spark.read.parquet(summary_path).drop("validation_date")
     if summary.filter("status = 'FAIL'").limit(1).count():
         raise GateError("Silver and Gold row counts differ")
+    if checks["overall"].filter("overall_status <> 'PASS'").limit(1).count():
+        raise GateError("Silver and Gold do not reconcile")
+    tables.publish(spark, folder, run)
+    if with_views:
+        views.register_views(gold)
     return Medallion(
-        loaded, gold, spark.read.parquet(reject_path), bronze.failures(reports, naming), summary)
+        run, loaded, gold, rejects, failures, structure, dedup_log, checks, summary)

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallymark.functions.numbers import rounded
 from tallymark.operators import checks
 from tallymark.operators.checks import Rule, outside, to_rows
-from tallymark.operators.keys import duplicate_records
+from tallymark.operators.keys import duplicate_keys, duplicate_records
+from tallymark.operators.ranking import top_k
 from tallymark.schemas import ALL_PASSED, BUSINESS_KEY, MEASURE, SILVER_COLUMNS, VALID_YEARS
 
 def dq_unified(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
@@ -141,6 +142,19 @@ def silver_metric_rows(df: DataFrame) -> DataFrame:
         F.count_distinct("dataset_type").alias("SILVER_DATASET_COUNT")))
 
 
+def duplicate_datasets(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
+    """Rows of repeated keys and repeated keys by dataset."""
+    return duplicate_keys(df, key).groupBy("dataset_type").agg(
+        F.sum("duplicate_count").alias("duplicate_rows"), F.count("*").alias("duplicate_groups"))
+
+
+def top_duplicate_sources(df: DataFrame, key=BUSINESS_KEY, k: int = 20) -> DataFrame:
+    """The sources with most rows of repeated keys."""
+    counted = duplicate_records(df, key).groupBy("source_file").agg(
+        F.count("*").alias("duplicate_rows"))
+    return top_k(counted, "duplicate_rows", k, tie=["source_file"])
+
+
 def duplicate_sources(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
     """Copies of repeated keys by dataset and source."""
     return duplicate_records(df, key).groupBy("dataset_type", "source_file").agg(

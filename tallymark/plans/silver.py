@@ -124,11 +124,13 @@ def dedup(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
 
 def require_no_conflicts(df: DataFrame, key=BUSINESS_KEY) -> None:
     """Raise when copies of one key disagree on the count."""
-    found = conflicts(df, key).limit(20).collect()
+    disagreeing = conflicts(df, key)
+    found = disagreeing.limit(20).collect()
     if found:
         sample = "; ".join(str(r.asDict()) for r in found)
         raise GateError(
-            "Copies of a business key disagree on the count; none was removed: " + sample)
+            f"Copies of {disagreeing.count()} business keys disagree on the count; none was "
+            "removed, such as: " + sample)
 
 
 def drop_aggregates(df: DataFrame) -> DataFrame:

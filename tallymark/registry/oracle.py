@@ -60,9 +60,8 @@ relation("cells", [], """
        JOIN part ON l_partkey = p_partkey GROUP BY ALL
   UNION ALL
   SELECT 'Manufacturer', 'manufacturer', 'manufacturer', s_nationkey, s_name,
-         CAST(date_trunc('month', l_shipdate) AS DATE), CAST(sum(l_quantity) AS BIGINT)
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_returnflag <> 'R' GROUP BY ALL""")
+         CAST(date_trunc('month', l_shipdate) AS DATE), CAST(count(*) AS BIGINT)
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL""")
 relation("silver", ["st", "cells"], """
   SELECT dataset_type, dimension_value, CAST(date AS VARCHAR) AS period,
          CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month,
@@ -75,11 +74,14 @@ relation("hashed", ["silver"], f"""
   SELECT *, {hashed('dataset_type', 'state_code', 'dimension_value', 'period')} AS h FROM silver""")
 relation("dirty", ["hashed"], """
   SELECT dataset_type,
-         CASE WHEN h % 113 = 0 THEN '' ELSE dimension_value END AS dimension_value, period,
+         CASE WHEN h % 113 = 0 THEN '' WHEN h % 139 = 0 THEN 'Total'
+              WHEN h % 149 = 0 THEN 'GRAND TOTAL' ELSE dimension_value END AS dimension_value,
+         period,
          CASE WHEN h % 109 = 0 THEN 1900 ELSE year END AS year,
          CASE WHEN h % 107 = 0 THEN 13 ELSE month END AS month, month_name,
          CASE WHEN h % 103 = 0 THEN NULL WHEN h % 101 = 0 THEN -vehicle_count
-              WHEN h % 97 = 0 THEN 0 ELSE vehicle_count END AS vehicle_count,
+              WHEN h % 97 = 0 THEN 0 WHEN copy = 2 AND h % 2 = 0 THEN vehicle_count + 1
+              ELSE vehicle_count END AS vehicle_count,
          CASE WHEN copy = 2 THEN source_file || '.copy' ELSE source_file END AS source_file,
          CASE WHEN h % 127 = 0 THEN NULL ELSE state_code END AS state_code,
          CASE WHEN h % 127 = 0 THEN NULL ELSE state END AS state, date
@@ -335,7 +337,7 @@ relation("deduped", ["accepted"], f"""
   QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY source_file, vehicle_count) = 1""")
 oracle("dedup_business_key", ["deduped"], "SELECT * FROM deduped")
 oracle("dedup_conflicts", ["dirty"], """
-SELECT dataset_type, state_code, period, count(*) AS row_count
+SELECT dataset_type, state_code, dimension_value, period, date, count(*) AS row_count
 FROM dirty GROUP BY ALL HAVING count(DISTINCT vehicle_count) > 1""")
 oracle("dedup_log", ["accepted"], f"""
 SELECT {total('n')} AS input_rows, count(*) AS output_rows, {total('n - 1')} AS removed_rows,
@@ -413,6 +415,18 @@ relation("repeated", ["dirty"], f"""
 oracle("duplicate_records", ["repeated"], "SELECT * FROM repeated")
 oracle("duplicate_sources", ["repeated"], """
 SELECT dataset_type, source_file, count(*) AS duplicate_rows FROM repeated GROUP BY ALL""")
+oracle("duplicate_datasets", ["repeated"], f"""
+SELECT dataset_type, count(*) AS duplicate_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT {_KEY} FROM repeated) k
+        WHERE k.dataset_type IS NOT DISTINCT FROM repeated.dataset_type) AS duplicate_groups
+FROM repeated GROUP BY dataset_type""")
+oracle("top_duplicate_sources", ["repeated"], """
+SELECT source_file, count(*) AS duplicate_rows FROM repeated GROUP BY source_file
+ORDER BY duplicate_rows DESC, source_file NULLS LAST LIMIT 20""")
+oracle("multi_source_keys", ["repeated"], f"""
+SELECT {_KEY}, count(source_file) AS duplicate_row_count,
+       count(DISTINCT source_file) AS unique_source_files
+FROM repeated GROUP BY {_KEY} HAVING count(DISTINCT source_file) > 1""")
 oracle("overlap_sources", ["repeated"], f"""
 SELECT {_KEY}, count(source_file) AS duplicate_row_count,
        count(DISTINCT source_file) AS unique_source_files,
@@ -600,17 +614,24 @@ FROM {_year_sums(_a)} a JOIN {_year_sums(_b)} b ON a.year = b.year""")
 
 # --- Reconciliation -------------------------------------------------------
 _AGREE = "silver_rows = gold_rows AND silver_{0} = gold_{0}"
-oracle("reconcile_by_dataset", ["silver", "facts"], f"""
-SELECT dataset_type, silver_rows, gold_rows, silver_rows - gold_rows AS row_difference,
-       silver_total, gold_total, silver_total - gold_total AS total_difference,
-       CASE WHEN {_AGREE.format('total')} THEN 'PASS' ELSE 'CHECK' END AS reconciliation_status
-FROM (""" + " UNION ALL ".join(f"""
+def _by_dataset(base: str) -> str:
+    """Rows and sums of each grain in ``base`` against its fact."""
+    sides = " UNION ALL ".join(f"""
   SELECT '{g.name.upper()}' AS dataset_type,
-         (SELECT count(*) FROM silver WHERE dataset_type = '{g.dataset_type}') AS silver_rows,
+         (SELECT count(*) FROM {base} WHERE dataset_type = '{g.dataset_type}') AS silver_rows,
          (SELECT count(*) FROM facts WHERE table_name = '{g.fact.upper()}') AS gold_rows,
-         (SELECT coalesce({total()}, 0) FROM silver WHERE dataset_type = '{g.dataset_type}') AS silver_total,
+         (SELECT coalesce({total()}, 0) FROM {base} WHERE dataset_type = '{g.dataset_type}') AS silver_total,
          (SELECT coalesce({total()}, 0) FROM facts WHERE table_name = '{g.fact.upper()}') AS gold_total"""
-    for g in GRAINS) + ") r")
+                             for g in GRAINS)
+    return f"""
+SELECT dataset_type, silver_rows, gold_rows, silver_rows - gold_rows AS row_difference,
+       silver_total, gold_total, silver_total - gold_total AS total_difference,
+       CASE WHEN {_AGREE.format('total')} THEN 'PASS' ELSE 'CHECK' END AS reconciliation_status
+FROM ({sides}) r"""
+
+
+oracle("reconcile_by_dataset", ["silver", "facts"], _by_dataset("silver"))
+oracle("reconcile_soiled", ["dirty", "facts"], _by_dataset("dirty"))
 relation("overall", ["silver", "facts"], f"""
   SELECT (SELECT count(*) FROM silver) AS silver_rows, (SELECT count(*) FROM facts) AS gold_rows,
          (SELECT coalesce({total()}, 0) FROM silver) AS silver_vehicles,

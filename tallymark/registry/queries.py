@@ -14,7 +14,6 @@ from tallymark.schemas import (
     CATEGORY, FUEL, GRAINS, MANUFACTURER, MEASURE, UNIFIED_TO_SILVER)
 from tallymark.sources import tables
 from tallymark.sources.market import YEARS, Market, row_hash
-from tallymark.sources.workspace import table_path
 
 # Years in scope when the rendered reports with foreign months are to pass.
 REPORT_YEARS = (1995, 2008)
@@ -45,7 +44,7 @@ def _files(m: Market) -> DataFrame:
 
 
 def _scan(m):
-    return m.report_lines().groupBy("source_file").agg(F.count("*").alias("line_count"))
+    return m.scanned_lines().groupBy("source_file").agg(F.count("*").alias("line_count"))
 
 
 def _cells(m):
@@ -134,17 +133,13 @@ def _deduped(m: Market) -> DataFrame:
 
 
 def _written(m: Market) -> DataFrame:
-    path = table_path(m.spark, f"silver-sorted-{m.version()}")
-    if path is None:
-        return silver.silver_sorted(_accepted(m))
+    path = m.fresh_path("silver-sorted")
     tables.write_silver(_staged(m), path)
     return tables.read_silver(m.spark, path)
 
 
 def _csv_round(m: Market) -> DataFrame:
-    path = table_path(m.spark, f"silver-csv-{m.version()}")
-    if path is None:
-        return m.dirty()
+    path = m.fresh_path("silver-csv")
     tables.write_csv(m.dirty(), path)
     return tables.read_typed_csv(m.spark, path)
 
@@ -164,7 +159,7 @@ SILVER = {
     "drop_exact_duplicates": _accepted,
     "silver_sort_write": _written,
     "dedup_business_key": lambda m: silver.dedup(_staged(m)),
-    "dedup_conflicts": lambda m: keys.conflicts(m.dirty(), ["dataset_type", "state_code", "period"]),
+    "dedup_conflicts": lambda m: keys.conflicts(m.dirty()),
     "dedup_log": lambda m: keys.dedup_summary(_staged(m)),
     "load_gate": lambda m: silver.load_gate(_deduped(m)),
     "load_gate_violations": lambda m: silver.gate_violations(_staged(m)),
@@ -181,17 +176,10 @@ def _dq_log(m: Market) -> DataFrame:
         quality.stage_result(quality.dq_unified(m.dirty(), YEARS), "unified_validation", m.dirty().count()),
         quality.stage_result(quality.dq_silver(m.silver(), YEARS), "silver_validation", m.silver().count()),
     ]
-    path = table_path(m.spark, f"dq-log-{m.version()}-{m.store.next_number()}")
-    if path is None:
-        frame = m.spark.createDataFrame(
-            [tuple(o.values()) for o in outcomes],
-            "stage string, status string, rows_checked bigint, critical_error_count bigint, "
-            "details string")
-    else:
-        for entry in outcomes:
-            tables.append_log(m.spark, path, entry)
-        frame = tables.read_log(m.spark, path)
-    return frame.select("stage", "status", "rows_checked", "critical_error_count")
+    path = m.fresh_path("dq-log")
+    for entry in outcomes:
+        tables.append_log(m.spark, path, entry)
+    return tables.read_log(m.spark, path).select("stage", "status", "rows_checked", "critical_error_count")
 
 
 QUALITY = {
@@ -201,6 +189,9 @@ QUALITY = {
     "dq_log": _dq_log,
     "duplicate_records": lambda m: keys.duplicate_records(m.dirty()),
     "duplicate_sources": lambda m: quality.duplicate_sources(m.dirty()),
+    "duplicate_datasets": lambda m: quality.duplicate_datasets(m.dirty()),
+    "top_duplicate_sources": lambda m: quality.top_duplicate_sources(m.dirty()),
+    "multi_source_keys": lambda m: keys.multi_source_keys(m.dirty()),
     "overlap_sources": lambda m: keys.overlap_sources(m.dirty()),
     "silver_summary": lambda m: quality.summary(m.dirty()),
     "dataset_summary": lambda m: quality.dataset_summary(m.dirty()),
@@ -299,15 +290,15 @@ ANALYTICS = {
 
 def _medallion(m: Market) -> DataFrame:
     """The closing summary of a whole run over the rendered reports."""
-    folder = table_path(m.spark, f"medallion-{m.version()}")
-    if folder is None:
-        raise RuntimeError("a run keeps its tables in the folder named by spark.checkpoint.dir")
+    folder = m.fresh_path("medallion")
     return pipeline.run_medallion(
-        m.spark, m.report_lines(), m.states(), folder, years=REPORT_YEARS).summary
+        m.spark, m.scanned_lines(), m.states(), folder, years=REPORT_YEARS).summary
 
 
 RECONCILIATION = {
     "reconcile_by_dataset": lambda m: reconciliation.reconcile_by_dataset(m.silver(), m.gold()),
+    # The soiled rows against Gold of the clean ones: a case that does not reconcile.
+    "reconcile_soiled": lambda m: reconciliation.reconcile_by_dataset(m.dirty(), m.gold()),
     "reconcile_overall": lambda m: reconciliation.reconcile_overall(m.silver(), m.gold()),
     "reconcile_metrics": lambda m: reconciliation.reconcile_metrics(m.silver(), m.gold()),
     "validation_summary": lambda m: reconciliation.validation_summary(

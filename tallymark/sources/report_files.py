@@ -53,6 +53,27 @@ def split_physical(raw: DataFrame) -> DataFrame:
         "line")
 
 
+def _physical(files: DataFrame, name: Column) -> DataFrame:
+    return files.select(
+        name.alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value")
+
+
+def write_reports(lines: DataFrame, root: str) -> None:
+    """Report lines as text, the reports of a folder each in a partition of its name."""
+    ordered = lines.repartition("source_file").sortWithinPartitions("source_file", "line_order")
+    ordered.select("source_file", "line").write.partitionBy("source_file").text(root)
+
+
+def scan_partitions(
+    spark: SparkSession, root: str, table: str, naming: ReportNaming = DEFAULT_NAMING,
+) -> DataFrame:
+    """All lines of reports that :func:`write_reports` wrote, kept as the Bronze table."""
+    raw = _physical(spark.read.text(root), F.col("source_file"))
+    cut(split_physical(raw), naming).write.mode("overwrite").parquet(table)
+    return spark.read.schema(LINE_SCHEMA).parquet(table)
+
+
 def scan_lines(
     spark: SparkSession, root: str, table: str, naming: ReportNaming = DEFAULT_NAMING,
 ) -> DataFrame:
@@ -62,13 +83,16 @@ def scan_lines(
     line (start of its split, running number in the task, piece of the physical line) is
     written with it: later steps compare places and must not see them drawn twice.
     """
-    raw = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
-        .select(
-            relative_path(F.col("_metadata.file_path"), root).alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-            "value")
-    )
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
+    name = relative_path(F.col("_metadata.file_path"), root)
+    raw = _physical(files, name)
     cut(split_physical(raw), naming).write.mode("overwrite").parquet(table)
+    read = spark.read.schema(LINE_SCHEMA).parquet(table)
+    # A file without a byte gives no line; it gets a blank one, so that checks list it.
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select(
+        relative_path(F.col("path"), root).alias("source_file"))
+    empty = listed.join(read.select("source_file").distinct(), "source_file", "left_anti").select(
+        "source_file", line_order(F.lit(0), F.lit(0), F.lit(0)).alias("line_order"),
+        F.lit("").alias("line"))
+    cut(empty, naming).write.mode("append").parquet(table)
     return spark.read.schema(LINE_SCHEMA).parquet(table)

@@ -76,6 +76,19 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DQ_LOG_SCHEMA).parquet(path)
 
 
+def publish(spark: SparkSession, folder: str, run: str) -> None:
+    """Make a finished run the current one, by one appended row."""
+    spark.createDataFrame([(run,)], "run string").withColumn(
+        "published", F.current_timestamp()).write.mode("append").parquet(f"{folder}/published")
+
+
+def current_run(spark: SparkSession, folder: str) -> str | None:
+    """Path of the run published last below ``folder``."""
+    row = spark.read.schema("run string, published timestamp").parquet(f"{folder}/published").agg(
+        F.max_by("run", "published").alias("run")).first()
+    return row["run"]
+
+
 def replace_summary(summary: DataFrame, path: str) -> None:
     """Write the validation summary of this run in place of the last one."""
     summary.withColumn("validation_date", F.current_timestamp()).write.mode("overwrite").parquet(path)

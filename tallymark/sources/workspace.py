@@ -3,39 +3,27 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import threading
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-_local_folder: dict[str, str] = {}
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Where the cluster wants intermediate tables; None when it names no place.
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the folder that ``spark.checkpoint.dir`` names.
 
-    Only a session on a single machine gets a temporary folder of its own instead.
+    A session that names none uses its warehouse, which executors reach as well.
     """
-    context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        return None
-    app = context.applicationId
-    if app not in _local_folder:
-        _local_folder[app] = tempfile.mkdtemp(prefix="tallymark-")
-        context.setCheckpointDir(_local_folder[app])
-    return _local_folder[app]
-
-
-def table_path(spark: SparkSession, *parts: str) -> str | None:
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return (named or f"{warehouse}/stages").rstrip("/")
+
+
+def table_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared folder that no other application uses."""
-    folder = shared_folder(spark)
-    if folder is None:
-        return None
-    return "/".join([folder, f"tallymark-{spark.sparkContext.applicationId}", *parts])
+    return "/".join([
+        shared_folder(spark), f"tallymark-{spark.sparkContext.applicationId}", *parts])
 
 
 def digest(*parts) -> str:
@@ -46,7 +34,7 @@ class TableStore:
     """Tables that are written once per application and then read as Parquet.
 
     The path of a table tells the list of files it came from; new input files give a
-    new table. Without a shared folder every frame stays lazy.
+    new table.
     """
 
     def __init__(self) -> None:
@@ -60,14 +48,8 @@ class TableStore:
         self._number += 1
         return self._number
 
-    def forget(self) -> None:
-        """Compute every table anew at its next use."""
-        self._written.clear()
-
-    def ensure(self, path: str | None, build) -> None:
+    def ensure(self, path: str, build) -> None:
         """Write the table unless this application already has."""
-        if path is None:
-            return
         with self._lock:
             if path not in self._written:
                 build().write.mode("overwrite").parquet(path)

@@ -1,9 +1,9 @@
 import pytest
 
-from tallymark.plans import silver
+from tallymark.plans import bronze, silver
 from tallymark.plans.pipeline import run_medallion
 from tallymark.sources.report_files import scan_lines
-from tallymark.sources.tables import read_log
+from tallymark.sources.tables import current_run, read_log, read_silver
 
 
 def write(folder, name, text):
@@ -40,7 +40,11 @@ def test_whole_run(spark, tmp_path, bronze_dir, rows):
         ("silver_validation", "PASS"), ("unified_validation", "PASS")]
     # Gold is read from its own tables: a row lost there shows in the reconciliation.
     files = done.gold.fact_fuel.inputFiles()
-    assert files and all("/run/gold/fact_fuel/" in f for f in files)
+    assert files and all(f"{done.path}/gold/fact_fuel/" in f for f in files)
+    assert current_run(spark, str(tmp_path / "run")) == done.path
+    assert done.dedup_log.first().conflicting_value_groups == 0
+    assert sorted(rows(done.structure, "status")) == [("INVALID",)] + [("VALID",)] * 3
+    assert {r.reconciliation_status for r in done.reconciliation["by_dataset"].collect()} == {"PASS"}
     assert rows(done.gold.dim_state) == [("an", "Andaman and Nicobar Islands")]
     assert spark.sql("select total_vehicles from vw_manufacturer_totals").first()[0] == 9
 
@@ -50,8 +54,35 @@ def test_equal_overlap_is_removed_and_conflict_stops(spark, tmp_path, bronze_dir
     write(bronze_dir, extra, "Fuel,2016-Jan\nDIESEL,5\n")
     assert run(spark, tmp_path, bronze_dir).silver.count() == 3
     write(bronze_dir, extra, "Fuel,2016-Jan\nDIESEL,6\n")
-    with pytest.raises(silver.GateError, match="disagree"):
+    before = current_run(spark, str(tmp_path / "run"))
+    with pytest.raises(silver.GateError, match="Copies of 1 business keys disagree"):
         run(spark, tmp_path, bronze_dir)
+    # What was published stays, and can be read.
+    assert current_run(spark, str(tmp_path / "run")) == before
+    assert read_silver(spark, f"{before}/silver").count() == 3
+
+
+def test_empty_report_and_huge_count_are_told(spark, tmp_path, bronze_dir, rows):
+    write(bronze_dir, "fuel/market_fuel_ap_monthwise_2016_2018.csv", "")
+    lines = scan_lines(spark, str(bronze_dir), str(tmp_path / "lines"))
+    found = bronze.failures(bronze.parse(lines))
+    assert [r.file for r in found.collect()] == ["fuel/market_fuel_ap_monthwise_2016_2018.csv"]
+    write(bronze_dir, "fuel/market_fuel_ap_monthwise_2016_2018.csv",
+          "Fuel,2016-Jan,Total\nDIESEL,10000000000000000000,99999999999999999999\n")
+    reports = bronze.parse(scan_lines(spark, str(bronze_dir), str(tmp_path / "lines2")))
+    ap = "source_file like '%_ap_%'"
+    assert [r.vehicle_count for r in bronze.unify(reports).filter(ap).collect()] == [None]
+    assert {r.status for r in bronze.total_reconcile(reports).filter(ap).collect()} == {"CHECK"}
+
+
+def test_sinks_can_be_called_twice(spark):
+    from tallymark.registry.queries import all_queries
+
+    for name in ("silver_load", "silver_sort_write", "dq_log", "run_medallion", "scan_reports"):
+        query = all_queries()[name]
+        first = query(spark, "/root/testdata/sf0.001")
+        second = query(spark, "/root/testdata/sf0.001")
+        assert first.count() == second.count() > 0
 
 
 def test_years_out_of_scope_fail_validation(spark, tmp_path, bronze_dir):
