@@ -6,7 +6,9 @@ from tallymark.schemas import (
     AGGREGATE_LABELS, BUSINESS_KEY, CATEGORY, EXPECTED_DATASET_TYPES, FUEL, GRAINS,
     MANUFACTURER, REPORT_HEADERS, SILVER_COLUMNS, UNIFIED_TO_SILVER)
 
-YEARS = "1995 AND 2001"
+# The years in scope are those of the clean market.
+FIRST, LAST = "(SELECT min(year) FROM silver)", "(SELECT max(year) FROM silver)"
+YEARS = f"{FIRST} AND {LAST}"
 
 
 def big(expression: str) -> str:
@@ -257,13 +259,13 @@ SELECT source_file AS file,
             WHEN NOT has_months THEN 'No monthly columns found in ' || source_file
             ELSE 'No valid rows found after transformation' END AS error
 FROM rfiles WHERE NOT has_header OR NOT has_months OR f % 37 = 0""")
-oracle("report_coverage", ["lineage", "st"], """
+oracle("report_coverage", ["lineage", "st", "silver"], f"""
 SELECT p.state_code, p.report, CAST(p.y AS BIGINT) AS from_year, CAST(p.y AS BIGINT) AS to_year,
        CASE WHEN l.source_file IS NULL THEN 'MISSING'
             WHEN l.found_year = l.name_year THEN 'DELIVERED' ELSE 'MISMATCH' END AS status
 FROM (SELECT state_code, report, y
       FROM st, (VALUES ('vehicle_category'), ('fuel'), ('manufacturer')) AS k(report),
-           (SELECT unnest(range(1995, 2002)) AS y) q) p
+           (SELECT DISTINCT unnest(range({FIRST}, {LAST} + 1)) AS y) q) p
 LEFT JOIN lineage l ON l.state_code = p.state_code AND lower(l.dataset_type) = p.report
      AND l.name_year = p.y""")
 relation("structure", ["rfiles", "flatrows"], """
@@ -443,7 +445,7 @@ oracle("duplicate_keys", ["dirty"], f"""
 SELECT {_KEY}, count(*) AS duplicate_count FROM dirty GROUP BY {_KEY} HAVING count(*) > 1""")
 oracle("null_counts", ["dirty"], "SELECT count(*) AS null_vehicle_counts FROM dirty WHERE vehicle_count IS NULL")
 oracle("negative_counts", ["dirty"], "SELECT count(*) AS negative_vehicle_counts FROM dirty WHERE vehicle_count < 0")
-oracle("invalid_years", ["dirty"], "SELECT count(*) AS invalid_years FROM dirty WHERE year < 1995 OR year > 2001")
+oracle("invalid_years", ["dirty"], f"SELECT count(*) AS invalid_years FROM dirty WHERE year < {FIRST} OR year > {LAST}")
 oracle("invalid_months", ["dirty"], "SELECT count(*) AS invalid_months FROM dirty WHERE month < 1 OR month > 12")
 oracle("null_profile", ["dirty"], "SELECT " + ", ".join(
     f"{count_if(cond)} AS {name}" for name, cond in _NULLS.items()) + " FROM dirty")
@@ -505,16 +507,11 @@ SELECT *, row_number() OVER (PARTITION BY state_code ORDER BY total_vehicles DES
        AS {_g.name}_rank FROM state_{_g.name}""")
     oracle(f"vw_{_g.name}_yearly", [_f], f"""
 SELECT year, state_code, state, {_n}, {total()} AS total_vehicles FROM {_f} GROUP BY ALL""")
-oracle("vw_state_market_summary", [g.fact for g in GRAINS], f"""
-SELECT coalesce(c.state_code, f.state_code, m.state_code) AS state_code,
-       coalesce(c.state, f.state, m.state) AS state,
-       coalesce(c.v, 0) AS category_vehicles, coalesce(f.v, 0) AS fuel_vehicles,
-       coalesce(m.v, 0) AS manufacturer_vehicles
-FROM (SELECT state_code, state, {total()} AS v FROM fact_category GROUP BY ALL) c
-FULL JOIN (SELECT state_code, state, {total()} AS v FROM fact_fuel GROUP BY ALL) f
-  ON c.state_code = f.state_code
-FULL JOIN (SELECT state_code, state, {total()} AS v FROM fact_manufacturer GROUP BY ALL) m
-  ON coalesce(c.state_code, f.state_code) = m.state_code""")
+oracle("vw_state_market_summary", ["facts"], """
+SELECT state_code, state, """ + ", ".join(
+    f"coalesce({total(_when)}, 0) AS {g.name}_vehicles" for g in GRAINS
+    for _when in [f"CASE WHEN table_name = '{g.fact.upper()}' THEN vehicle_count END"]) + """
+FROM facts GROUP BY state_code, state""")
 
 # --- Analyses -------------------------------------------------------------
 _PLURAL = {"category": "categories", "fuel": "fuels", "manufacturer": "manufacturers"}
@@ -582,7 +579,7 @@ FROM (SELECT dataset_type, {count_if('vehicle_count = 0')} AS zero_count_rows, c
 oracle("dq_summary", ["dirty"], f"""
 SELECT count(*) AS total_rows, {count_if('vehicle_count IS NULL')} AS null_vehicle_counts,
        {count_if('vehicle_count < 0')} AS negative_vehicle_counts,
-       {count_if('year < 1995 OR year > 2001')} AS invalid_years,
+       {count_if(f'year < {FIRST} OR year > {LAST}')} AS invalid_years,
        {count_if('month < 1 OR month > 12')} AS invalid_months,
        {count_if('date IS NULL')} AS null_dates, count(DISTINCT dataset_type) AS dataset_types,
        (SELECT count(*) FROM (SELECT 1 FROM dirty GROUP BY {_KEY} HAVING count(*) > 1) k)

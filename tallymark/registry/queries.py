@@ -13,12 +13,10 @@ from tallymark.plans import (
 from tallymark.schemas import (
     CATEGORY, FUEL, GRAINS, MANUFACTURER, MEASURE, UNIFIED_TO_SILVER)
 from tallymark.sources import tables
-from tallymark.sources.market import YEARS, Market, row_hash
+from tallymark.sources.market import Market, row_hash
 
-# Years in scope when the rendered reports with foreign months are to pass.
-REPORT_YEARS = (1995, 2008)
-_SINGLE_YEARS = [(y, y) for y in range(YEARS[0], YEARS[1] + 1)]
-REPORT_RANGES = {r: _SINGLE_YEARS for r in ("vehicle_category", "fuel", "manufacturer")}
+# Rendered reports with foreign months name years this much later.
+FOREIGN_YEARS = 7
 MIN_BASE = 20
 CORRELATION_DIGITS = 8
 
@@ -62,7 +60,10 @@ _CELL = ["source_file", "dataset_type", "dimension_value", "label", "cell"]
 
 
 def _coverage(m):
-    plan = bronze.report_plan(m.states(), REPORT_RANGES)
+    first, last = m.years()
+    single = [(y, y) for y in range(first, last + 1)]
+    plan = bronze.report_plan(
+        m.states(), {r: single for r in ("vehicle_category", "fuel", "manufacturer")})
     return bronze.report_coverage(plan, _reports(m))
 
 
@@ -120,7 +121,7 @@ def _as_text(df: DataFrame) -> DataFrame:
 
 
 def _accepted(m: Market) -> DataFrame:
-    return silver.drop_exact_duplicates(silver.accepted(m.dirty(), YEARS))
+    return silver.drop_exact_duplicates(silver.accepted(m.dirty(), m.years()))
 
 
 def _staged(m: Market) -> DataFrame:
@@ -155,7 +156,7 @@ SILVER = {
     "extract_state_code": _state_codes,
     "map_state": lambda m: silver.map_state(_state_codes(m), m.states()),
     "coerce_types": lambda m: silver.coerce_types(_as_text(m.dirty())),
-    "reject_rows": lambda m: silver.rejected(m.dirty(), YEARS),
+    "reject_rows": lambda m: silver.rejected(m.dirty(), m.years()),
     "drop_exact_duplicates": _accepted,
     "silver_sort_write": _written,
     "dedup_business_key": lambda m: silver.dedup(_staged(m)),
@@ -173,8 +174,8 @@ SILVER = {
 def _dq_log(m: Market) -> DataFrame:
     """Outcome of both stage validations, read back from the log."""
     outcomes = [
-        quality.stage_result(quality.dq_unified(m.dirty(), YEARS), "unified_validation", m.dirty().count()),
-        quality.stage_result(quality.dq_silver(m.silver(), YEARS), "silver_validation", m.silver().count()),
+        quality.stage_result(quality.dq_unified(m.dirty(), m.years()), "unified_validation", m.dirty().count()),
+        quality.stage_result(quality.dq_silver(m.silver(), m.years()), "silver_validation", m.silver().count()),
     ]
     path = m.fresh_path("dq-log")
     for entry in outcomes:
@@ -183,9 +184,9 @@ def _dq_log(m: Market) -> DataFrame:
 
 
 QUALITY = {
-    "dq_unified": lambda m: quality.dq_unified(m.dirty(), YEARS),
-    "dq_silver": lambda m: quality.dq_silver(m.dirty(), YEARS),
-    "dq_profile": lambda m: quality.dq_profile(m.dirty(), YEARS),
+    "dq_unified": lambda m: quality.dq_unified(m.dirty(), m.years()),
+    "dq_silver": lambda m: quality.dq_silver(m.dirty(), m.years()),
+    "dq_profile": lambda m: quality.dq_profile(m.dirty(), m.years()),
     "dq_log": _dq_log,
     "duplicate_records": lambda m: keys.duplicate_records(m.dirty()),
     "duplicate_sources": lambda m: quality.duplicate_sources(m.dirty()),
@@ -199,7 +200,7 @@ QUALITY = {
     "duplicate_keys": lambda m: keys.duplicate_keys(m.dirty()),
     "null_counts": lambda m: quality.null_counts(m.dirty()),
     "negative_counts": lambda m: quality.negative_counts(m.dirty()),
-    "invalid_years": lambda m: quality.invalid_years(m.dirty(), YEARS),
+    "invalid_years": lambda m: quality.invalid_years(m.dirty(), m.years()),
     "invalid_months": lambda m: quality.invalid_months(m.dirty()),
     "count_statistics": lambda m: quality.count_statistics(m.dirty()),
     "null_profile": lambda m: quality.null_profile(m.dirty()),
@@ -279,7 +280,7 @@ ANALYTICS = {
     "month_rank": lambda m: analytics.month_rank(m.silver()),
     **_per_grain("top_{}_by_year", lambda fact, g: analytics.top_values_by_year(fact, g, 1)),
     "zero_counts": lambda m: analytics.zero_counts(m.dirty()),
-    "dq_summary": lambda m: analytics.dq_summary(m.dirty(), YEARS),
+    "dq_summary": lambda m: analytics.dq_summary(m.dirty(), m.years()),
     "state_anomalies": lambda m: analytics.state_anomalies(m.silver()),
     "priority_anomalies": lambda m: analytics.priority_anomalies(m.silver()),
     "corr_category_fuel": _correlation(CATEGORY, FUEL),
@@ -291,8 +292,9 @@ ANALYTICS = {
 def _medallion(m: Market) -> DataFrame:
     """The closing summary of a whole run over the rendered reports."""
     folder = m.fresh_path("medallion")
+    first, last = m.years()
     return pipeline.run_medallion(
-        m.spark, m.scanned_lines(), m.states(), folder, years=REPORT_YEARS).summary
+        m.spark, m.scanned_lines(), m.states(), folder, years=(first, last + FOREIGN_YEARS)).summary
 
 
 RECONCILIATION = {

@@ -17,9 +17,9 @@ from tallymark.schemas import CATEGORY, FUEL, GRAINS, MEASURE, SILVER_SCHEMA, Gr
 from tallymark.sources.report_files import LINE_SCHEMA, scan_partitions, write_reports
 from tallymark.sources.workspace import TableStore, digest, table_path
 
-YEARS = (1995, 2001)
 _STORE = TableStore()
 _VERSIONS: dict[tuple[str, str], str] = {}
+_YEARS: dict[str, tuple[int, int]] = {}
 
 TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem"]
 _REPORT = {"category": "vehicle_category", "fuel": "fuel", "manufacturer": "manufacturer"}
@@ -230,6 +230,14 @@ class Market:
         self.store.ensure(path, build)
         return silver_columns(self.spark.read.schema(SILVER_SCHEMA).parquet(path))
 
+    def years(self) -> tuple[int, int]:
+        """First and last year of the clean market: the years in scope."""
+        path = self._silver_path()
+        if path not in _YEARS:
+            row = self.silver().agg(F.min("year"), F.max("year")).first()
+            _YEARS[path] = (row[0] or 0, row[1] or 0)
+        return _YEARS[path]
+
     def fact(self, grain: Grain) -> DataFrame:
         return fact(self.silver_part(grain), grain)
 
