@@ -13,8 +13,8 @@ the multiset overlap of a pair is computed exactly before it counts as a link.
 
 Candidates are not all pairs of a band's bucket. In a first pass every node meets the leader
 of its bucket; linked nodes become one group. Only buckets that still hold several groups go
-further: there, nodes of different groups that have not met are compared, so no link between
-groups is lost.
+further: there, nodes of different groups are compared, in a small bucket pair by pair, in a
+crowded one block against block inside a task, so no link between groups is lost.
 
 Defined results: words are split at ASCII blanks and compared without ASCII case; a text of one
 to four words is one shingle; null texts and texts without a word are never duplicates of
@@ -37,6 +37,9 @@ from tallymark.llm.components import components
 
 U = np.uint64
 GOLDEN = 0x9E3779B97F4A7C15
+SMALL = 8  # members of a bucket whose pairs are compared one by one
+BLOCK = 512  # members of a larger bucket that a task compares with as many others
+COLUMNS = 4096
 
 
 @dataclass(frozen=True)
@@ -165,34 +168,35 @@ def signed(docs: DataFrame, rules: NearRules) -> DataFrame:
 
 
 def payloads(rows: DataFrame, width: int) -> DataFrame:
-    """(node, text) as (node, shingles), the sorted multiset packed as bytes."""
+    """(node, text) as (node, elements): the sorted multiset packed as bytes.
+
+    The n-th copy of a shingle is an element of its own, so multiset overlap is set overlap.
+    """
     def run(batches):
         for whole in batches:
             texts = [(t or "").encode() for t in whole.column(1).to_pylist()]
             for start, end in by_size(texts, 4 << 20):
                 owner, keys, counts = shingles(texts[start:end], width)
+                copy = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+                owner, keys = np.repeat(owner, counts), np.repeat(keys, counts)
+                keys = np.where(copy > 0, mixed(keys ^ (copy.astype(U) << U(40))), keys)
+                order = np.lexsort((keys, owner))
+                owner, keys = owner[order], keys[order]
                 cuts = np.searchsorted(owner, np.arange(end - start + 1))
-                packed = [keys[a:b].tobytes() + counts[a:b].astype("<u4").tobytes()
-                          for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [whole.column(0).slice(start, end - start), pa.array(packed, pa.binary())],
-                    names=["node", "shingles"])
-
-    return rows.mapInArrow(run, "node long, shingles binary")
+                    [whole.column(0).slice(start, end - start),
+                     pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
+                    names=["node", "elements"])
 
-
-def unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(packed) // 12
-    return np.frombuffer(packed[:8 * n], U), np.frombuffer(packed[8 * n:], "<u4").astype(np.int64)
+    return rows.mapInArrow(run, "node long, elements binary")
 
 
 def similarity(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two packed multisets."""
-    (x, n), (y, m) = unpacked(a), unpacked(b)
+    x, y = np.frombuffer(a, U), np.frombuffer(b, U)
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    both = y[at] == x
-    shared = int(np.minimum(n[both], m[at[both]]).sum())
-    return shared / (int(n.sum()) + int(m.sum()) - shared)
+    shared = int((y[at] == x).sum())
+    return shared / (len(x) + len(y) - shared)
 
 
 def verified(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
@@ -211,6 +215,62 @@ def verified(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
     return wide.mapInArrow(run, "a long, b long, linked boolean")
 
 
+def links_between(labels: np.ndarray, packed: list[bytes], least: float) -> list[tuple[int, int]]:
+    """For members of a bucket in several groups, one link (i, j) from each member outside the
+    largest group to each other group that it is similar to."""
+    _, group, sizes = np.unique(labels, return_inverse=True, return_counts=True)
+    outside = np.flatnonzero(group != sizes.argmax())
+    if not len(outside):
+        return []
+    parts = [np.frombuffer(p, U) for p in packed]
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    _, number, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(parts)), size)
+    shared = counts[number] > 1  # an element of one member is in no overlap
+    column = np.cumsum(counts > 1) - 1
+    owner, number = owner[shared], column[number[shared]]
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    overlap = np.zeros((len(outside), len(parts)), np.float32)
+    for low in range(0, int((counts > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(number, (low, low + COLUMNS))
+        holds = np.zeros((len(parts), COLUMNS), np.float32)
+        holds[owner[a:b], number[a:b] - low] = 1
+        overlap += holds[outside] @ holds.T
+    union = size[outside][:, None] + size[None, :] - overlap
+    good = (overlap >= (least - 1e-6) * union) & (group[outside][:, None] != group[None, :])
+    found = []
+    for i, row in zip(outside, good):
+        hits = np.flatnonzero(row)
+        if len(hits):
+            _, first = np.unique(group[hits], return_index=True)
+            found += [(int(i), int(j)) for j in hits[first]
+                      if similarity(packed[i], packed[j]) >= least - 1e-12]
+    return found
+
+
+def links_within(members: DataFrame, packed: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between groups inside crowded buckets (band, node, label, size).
+
+    A bucket is dealt into blocks, and each pair of blocks is compared in one task: rows grow
+    with the number of blocks, not with pairs, and no task holds more than two blocks.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = members.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    paired = dealt.select("band", "node", "label", F.least("own", "other").alias("i"),
+                          F.greatest("own", "other").alias("j")).join(packed, "node")
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes = group["node"].to_numpy()
+        found = links_between(group["label"].to_numpy(), group["elements"].to_pylist(), least)
+        return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.int64()),
+                         "b": pa.array([nodes[j] for _, j in found], pa.int64())})
+
+    return paired.groupBy("band", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def classes(docs: DataFrame, rules: NearRules = NearRules()) -> tuple[DataFrame, DataFrame]:
     """The staged rows of ``docs`` with ``__row``, and (``__row``, ``label``) of rows with words.
 
@@ -238,12 +298,16 @@ def classes(docs: DataFrame, rules: NearRules = NearRules()) -> tuple[DataFrame,
     placed = staged(crowded.join(groups.withColumnRenamed("node", "b"), "b", "left").select(
         "band", F.col("b").alias("node"), F.coalesce("label", "b").alias("label")), "placed")
     split = placed.groupBy("band").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    apart = placed.join(split.select("band"), "band", "left_semi")
-    left, right = apart.toDF("band", "a", "la"), apart.toDF("band", "b", "lb")
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
+    ).where("low != high")
+    apart = placed.join(split.select("band", "size"), "band")
+    few = apart.where(F.col("size") <= SMALL).drop("size")
+    left, right = few.toDF("band", "a", "la"), few.toDF("band", "b", "lb")
     unmet = (left.join(right, "band").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")))
              .select("a", "b").distinct().join(met.select("a", "b"), ["a", "b"], "left_anti"))
-    more = staged(verified(unmet, packed, rules.similarity).where("linked").select("a", "b"), "more")
+    more = staged(
+        verified(unmet, packed, rules.similarity).where("linked").select("a", "b").unionByName(
+            links_within(apart.where(F.col("size") > SMALL), packed, rules.similarity)), "more")
     if more.limit(1).count():
         groups = components(links.unionByName(more))
     labels = nodes.join(groups, "node", "left").select(

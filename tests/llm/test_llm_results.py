@@ -351,6 +351,24 @@ def test_chains_of_near_copies(spark):
     assert got == plain_classes(texts)
 
 
+def test_crowded_buckets_in_blocks(spark, monkeypatch):
+    """A tree of drifting copies whose buckets hold many groups, compared in small blocks."""
+    monkeypatch.setattr(minhash, "SMALL", 2)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(5000)]
+    known = [rng.choices(words, k=120)]
+    for _ in range(120):
+        own = list(rng.choice(known))
+        for _ in range(rng.choice((1, 2, 4))):
+            own[rng.randrange(120)] = rng.choice(words)
+        known.append(own)
+    texts = {i: " ".join(own) for i, own in enumerate(known)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_classes(frame).collect()}
+    assert got == plain_classes(texts)
+
+
 def test_signature_estimates_weighted_similarity():
     rng = random.Random(4)
     errors = []
