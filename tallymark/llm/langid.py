@@ -31,6 +31,8 @@ from tallymark.llm.common import by_size, extended, ship, text_bytes
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 U = np.uint64
+WORDS_AT_ONCE = 16_384
+TEXT_AT_ONCE = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -150,7 +152,11 @@ class Field:
     lexicon: set[bytes]
 
     def score_words(self, words: list[bytes]) -> np.ndarray:
-        return emissions(self.weights, *features(words, self.lexicon, len(self.weights)))
+        """Label scores of each word, some thousand words at a time to bound memory."""
+        parts = [emissions(self.weights, *features(words[i:i + WORDS_AT_ONCE], self.lexicon,
+                                                   len(self.weights)))
+                 for i in range(0, len(words), WORDS_AT_ONCE)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.labels)), np.float32)
 
     def word_labels(self, text: str) -> list[tuple[str, str, float]]:
         """(word, label, probability) of each word of one text."""
@@ -284,7 +290,7 @@ def predicted(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
         for batch in batches:
             raw = batch.column(batch.num_columns - 1).to_pylist()
             out: list[tuple[str, float]] = []
-            for start, end in by_size(raw):
+            for start, end in by_size(raw, TEXT_AT_ONCE):
                 out += model.predict([t.decode("utf-8", "replace") for t in raw[start:end]])
             yield pa.RecordBatch.from_arrays(
                 batch.columns[:-1] + [pa.array([p for p, _ in out], pa.string()),
