@@ -20,9 +20,16 @@ U = np.uint64
 SHARD_BYTES = 64 << 20
 
 
-def shard_count(spark, total_bytes: int) -> int:
-    """One per shuffle partition, more where a shard would see too much text."""
-    return max(shuffle_parts(spark), -(-total_bytes // SHARD_BYTES), 1)
+def shard_count(spark, total_bytes: int, per_partition: int = 1) -> int:
+    """Some per shuffle partition, more where a shard would see too much text."""
+    return max(per_partition * shuffle_parts(spark), -(-total_bytes // SHARD_BYTES), 1)
+
+
+def rows_of(batches):
+    """The rows of all batches one by one: rows are large, so no batch is copied whole."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 def shard_cuts(hashes: np.ndarray, shards: int) -> np.ndarray:

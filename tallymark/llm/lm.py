@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymark.llm.common import ship, staged, text_bytes
 from tallymark.llm.exchange import (
-    U, bits, flags, from_planes, gathered, packed, planes, replies, shard_count, shard_cuts,
-    unpacked)
+    U, bits, flags, from_planes, gathered, packed, planes, replies, rows_of, shard_count,
+    shard_cuts, unpacked)
 from tallymark.llm.minhash import mixed
 from tallymark.llm.trie import ID_BITS, Trie, restored
 
@@ -207,11 +207,15 @@ def tell_weights(rows: list[dict]) -> tuple[list[bytes], int]:
         high = bytes((8 - ID_BITS // 8) * len(nodes[-1]))
         ids.append(from_planes(r["ids"] + high, np.uint64))
     cuts = np.cumsum([len(n) for n in nodes])[:-1]
+    trained = [s > 0 for s in seen]
+
+    def picked(parts):
+        return np.concatenate([p[t] for p, t in zip(parts, trained)])
+
+    trie = trained_trie(*map(picked, (nodes, ids, seen, fine, own, split)))
+    seen, fine, own, split = [], [], [], []  # not needed any more
     node, word = np.concatenate(nodes), np.concatenate(ids)
-    trained = np.concatenate(seen) > 0
-    trie = trained_trie(node[trained], word[trained], np.concatenate(seen)[trained],
-                        np.concatenate(fine)[trained], np.concatenate(own)[trained],
-                        np.concatenate(split)[trained])
+    nodes, ids = [], []
     found, codes = trie.find(node, word)
     answers = [c.tobytes() + bits(f) for c, f in zip(np.split(codes, cuts), np.split(found, cuts))]
     return answers, trie.length
@@ -252,22 +256,20 @@ def scored(docs: DataFrame, held: str = "held_out") -> DataFrame:
         F.size(F.filter("held", lambda h: ~h)).alias("texts"),
     ).agg(F.sum("all"), F.sum("training"), F.sum("texts")).first()
     n_words, total, starts = (int(x or 0) for x in figures)
-    shards = shard_count(spark, 8 * n_words)
+    shards = shard_count(spark, 8 * n_words, per_partition=2)
 
     def ask_counts(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row)
-                names, counts = block.names[block.order], block.own_counts().astype(np.uint32)
-                cuts = shard_cuts(names, shards)
-                used = [s for s in range(shards) if cuts[s] < cuts[s + 1]]
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(used, pa.int32()),
-                    "block": pa.array([row["block"]] * len(used), pa.int64()),
-                    "names": pa.array([packed(names[cuts[s]:cuts[s + 1]]) for s in used],
-                                      pa.binary()),
-                    "counts": pa.array([planes(counts[cuts[s]:cuts[s + 1]]) for s in used],
-                                       pa.binary())})
+        for row in rows_of(batches):
+            block = Block(row)
+            names, counts = block.names[block.order], block.own_counts().astype(np.uint32)
+            cuts = shard_cuts(names, shards)
+            used = [s for s in range(shards) if cuts[s] < cuts[s + 1]]
+            yield pa.RecordBatch.from_pydict({
+                "shard": pa.array(used, pa.int32()),
+                "block": pa.array([row["block"]] * len(used), pa.int64()),
+                "names": pa.array([packed(names[cuts[s]:cuts[s + 1]]) for s in used], pa.binary()),
+                "counts": pa.array([planes(counts[cuts[s]:cuts[s + 1]]) for s in used],
+                                   pa.binary())})
 
     counted = replies(rows.mapInArrow(
         ask_counts, "shard int, block long, names binary, counts binary"), tell_counts, "counts")
@@ -276,18 +278,15 @@ def scored(docs: DataFrame, held: str = "held_out") -> DataFrame:
     known = rows.join(gathered(counted, "counts"), "block")
 
     def ask(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row)
-                yield ask_pairs(block, block.counts(row["counts"]), starts, total,
-                                distinct, shards)
+        for row in rows_of(batches):
+            block = Block(row)
+            yield ask_pairs(block, block.counts(row["counts"]), starts, total, distinct, shards)
 
     weighed = replies(known.mapInArrow(ask, PAIR_ROWS), tell_weights, "weights")
 
     def finish(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield _scores(row, shards, starts, total, distinct)
+        for row in rows_of(batches):
+            yield _scores(row, shards, starts, total, distinct)
 
     return known.join(gathered(weighed, "weights"), "block").mapInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

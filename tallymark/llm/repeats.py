@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymark.llm.common import ship, staged, text_bytes
 from tallymark.llm.exchange import (
-    U, bits, flags, gathered, packed, replies, shard_count, shard_cuts, unpacked)
+    U, bits, flags, gathered, packed, replies, rows_of, shard_count, shard_cuts, unpacked)
 from tallymark.llm.minhash import mixed
 
 LENGTH = 100
@@ -236,36 +236,32 @@ def removed(docs: DataFrame) -> DataFrame:
         "block", "ids", "lengths", "data", "copies")
 
     def ask_picks(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block, _ = _opened(row)
-                yield _messages(row["block"], shards, *block.picks())
+        for row in rows_of(batches):
+            block, _ = _opened(row)
+            yield _messages(row["block"], shards, *block.picks())
 
     repeated = gathered(replies(known.mapInArrow(
         ask_picks, "shard int, block long, names binary, many binary"), tell_repeated, "repeated"))
 
     def ask_windows(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block, _ = _opened(row)
-                names, _ = block.picks()
-                _, windows = block.remaining(names, _told(names, shards, row["answers"] or []))
-                yield _messages(row["block"], shards, np.unique(windows), None)
+        for row in rows_of(batches):
+            block, _ = _opened(row)
+            names, _ = block.picks()
+            _, windows = block.remaining(names, _told(names, shards, row["answers"] or []))
+            yield _messages(row["block"], shards, np.unique(windows), None)
 
     later = gathered(replies(known.join(repeated, "block").mapInArrow(
         ask_windows, "shard int, block long, names binary"), tell_later, "later"), "later")
 
     def finish(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block, skip = _opened(row)
-                names, _ = block.picks()
-                places, windows = block.remaining(
-                    names, _told(names, shards, row["answers"] or []))
-                distinct, first, is_first = first_places(windows)
-                gone = ~is_first
-                gone[first] = _told(distinct, shards, row["later"] or [])
-                yield _result(row, block, places[gone], skip)
+        for row in rows_of(batches):
+            block, skip = _opened(row)
+            names, _ = block.picks()
+            places, windows = block.remaining(names, _told(names, shards, row["answers"] or []))
+            distinct, first, is_first = first_places(windows)
+            gone = ~is_first
+            gone[first] = _told(distinct, shards, row["later"] or [])
+            yield _result(row, block, places[gone], skip)
 
     return known.join(repeated, "block", "left").join(
         later, "block", "left").mapInArrow(
