@@ -8,28 +8,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 LONGEST_KEPT = 64
+KEPT_PIECES = 400_000
 
 
 class PieceMemo(dict):
-    """Piece after a space -> encoded bytes; None for a piece that continues the one before."""
+    """Piece after a space -> encoded bytes; None for a piece that continues the one before.
+
+    The memory is bounded: a full memo becomes the older half, whose pieces come back as they
+    are used, and what was older is forgotten.
+    """
 
-    def __init__(self, encode: Callable[[str], bytes], limit: int = 400_000) -> None:
+    def __init__(self, encode: Callable[[str], bytes], limit: int = KEPT_PIECES) -> None:
         super().__init__()
         self.encode = encode
         self.limit = limit
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str):
         if not piece or piece[0].isspace():
             return None
-        value = self.encode(" " + piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.encode(" " + piece)
         if len(piece) <= LONGEST_KEPT:
             self[piece] = value
         return value
 
     def text(self, text: str) -> bytes:
-        """The encoded whole text. The memory is bounded: a full memo begins anew."""
+        """The encoded whole text."""
         if len(self) > self.limit:
+            self.older = dict(self)
             self.clear()
         if not text:
             return b""
@@ -40,6 +53,85 @@ class PieceMemo(dict):
         return (self.encode(pieces[0]) if pieces[0] else b"") + b"".join(values)
 
 
+class PieceTable:
+    """Encodes many texts together: the distinct pieces once, then arrays of ids."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = KEPT_PIECES) -> None:
+        self.encode = encode
+        self.limit = limit
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that follow a space each; those that continue one are empty."""
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        values = list(map(self.known.get, pieces))
+        missing = [i for i, v in enumerate(values) if v is None]
+        new = []
+        for i in missing:
+            values[i] = self.older.get(pieces[i])
+            if values[i] is None:
+                new.append(i)
+        for i, v in zip(new, self.encode([" " + pieces[i] for i in new])):
+            values[i] = v
+        for i in missing:
+            if len(pieces[i]) <= LONGEST_KEPT:
+                self.known[pieces[i]] = values[i]
+        return values
+
+    def texts(self, raw: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, each followed by ``end``, and how many each has."""
+        try:
+            column = pa.array(raw, pa.binary()).cast(pa.string())
+        except pa.ArrowInvalid:  # not UTF-8
+            column = pa.array([t.decode("utf-8", "replace") for t in raw], pa.string())
+        lists = pc.split_pattern(column, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        entry = coded.indices.to_numpy().astype(np.int64)
+        odd = np.fromiter((not p or p[0].isspace() for p in pieces), bool, len(pieces))
+        values = self._of(pieces)
+        first = offsets[:-1]
+        # First pieces follow no space; texts with runs of spaces are cut in longer chunks.
+        strange = np.zeros(len(entry), bool)
+        strange[:] = odd[entry]
+        strange[first] = False
+        whole = np.add.reduceat(strange, first) > 0 if len(first) else np.zeros(0, bool)
+        heads = [pieces[i] for i in entry[first]]
+        chunks, sizes = [], []
+        for i in range(len(first)):
+            if whole[i]:
+                own = joined([pieces[j] for j in entry[first[i]:offsets[i + 1]]])
+            else:
+                own = [heads[i]] if heads[i] else []
+            chunks += own
+            sizes.append(len(own))
+        found = self.encode(chunks)
+        at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        stop = np.array([end], np.uint32).tobytes()
+        values += [b"".join(found[a:b]) for a, b in zip(at, at[1:])] + [stop]
+        length = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        begin = np.cumsum(length) - length
+        store = np.frombuffer(b"".join(values), np.uint32)
+        # The order of the output: of each text its head, its other pieces, the end.
+        shift = np.arange(len(first))
+        order = np.full(len(entry) + len(first), len(values) - 1, np.int64)
+        place = np.arange(len(entry)) + np.repeat(shift, np.diff(offsets))
+        order[place] = entry
+        order[first + shift] = len(pieces) + shift
+        taken = length[order]
+        skip = np.zeros(len(order), bool)
+        skip[place] = np.repeat(whole, np.diff(offsets))
+        skip[first + shift] = False
+        taken[skip] = 0
+        ends = np.cumsum(taken)
+        ids = store[np.arange(int(ends[-1]) if len(ends) else 0)
+                    + np.repeat(begin[order] - (ends - taken), taken)]
+        return ids, np.add.reduceat(taken, first + shift) if len(first) else np.zeros(0, np.int64)
+
+
 def joined(pieces: list[str]) -> list[str]:
     """Pieces of a text split at spaces as chunks; runs of spaces stay with the chunk before."""
     chunks = [pieces[0]]

@@ -11,21 +11,26 @@ Defined results: null text is empty and has the end id only; rows come in order
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import ship, staged, text_bytes
-from tallymark.llm.pieces import PieceMemo
+from tallymark.llm.common import by_size, ship, staged, text_bytes
+from tallymark.llm.exchange import from_planes, planes, rows_of
+from tallymark.llm.pieces import PieceTable
 
 BITS = 20
 LOW = 1 << 31
-LANES = 256
+LANES = 1024
 STEPS = 256  # between checkpoints
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 19
+TEXT_AT_ONCE = 2 << 20
 END_ID = 0
 
 
@@ -67,9 +72,11 @@ def encode(ids: np.ndarray, table: Table) -> tuple[bytes, bytes, bytes]:
     words, states, places = [], [], []
     written = 0
     shift, bits = np.uint64(32), np.uint64(BITS)
+    freqs, begins = table.freq[rows], table.start[rows]
+    limits = freqs << np.uint64(63 - BITS)
     for step in range(steps - 1, -1, -1):
-        freq, start = table.freq[rows[step]], table.start[rows[step]]
-        full = x >= freq << np.uint64(63 - BITS)
+        freq, start = freqs[step], begins[step]
+        full = x >= limits[step]
         if full.any():
             words.append(x[full].astype(np.uint32))
             written += len(words[-1])
@@ -114,28 +121,29 @@ def decode(n: int, stream: bytes, states: bytes, starts: bytes, table: Table) ->
     return out.ravel()[:n]
 
 
-_tokenizers: dict[str, PieceMemo] = {}
+_tokenizers: dict[str, PieceTable] = {}
 
 
-def worker_memo(packed: str) -> PieceMemo:
+def worker_pieces(packed: str) -> PieceTable:
     """One tokenizer per worker process, with the pieces it has seen."""
     key = f"{len(packed)}-{zlib.crc32(packed.encode())}"
     if key not in _tokenizers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(packed)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-        def encode_piece(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids,
-                            dtype="<u4").tobytes()
+        def encode_pieces(texts: list[str]) -> list[bytes]:
+            return [array("I", e.ids).tobytes()
+                    for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         _tokenizers.clear()
-        _tokenizers[key] = PieceMemo(encode_piece)
+        _tokenizers[key] = PieceTable(encode_pieces)
     return _tokenizers[key]
 
 
-ID_ROWS = "part int, seq int, n_docs int, n_ids long, doc_ids binary, lengths binary, ids binary"
+ID_ROWS = "part int, seq int, before long, n_docs int, n_ids long, doc_ids binary, lengths binary, ids binary"
 
 
 def id_rows(docs: DataFrame, tokenizer_file: str) -> DataFrame:
@@ -145,29 +153,40 @@ def id_rows(docs: DataFrame, tokenizer_file: str) -> DataFrame:
         packed = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches):
-        memo = worker_memo(packed.value)
-        part, seq = TaskContext.get().partitionId(), 0
-        end = np.array([END_ID], "<u4").tobytes()
+        table = worker_pieces(packed.value)
+        part, seq, before = TaskContext.get().partitionId(), 0, 0
         names, lengths, ids, size = [], [], [], 0
 
         def row():
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
+                "before": pa.array([before], pa.int64()),
                 "n_docs": pa.array([len(names)], pa.int32()), "n_ids": pa.array([size], pa.int64()),
                 "doc_ids": pa.array([_packed_ids(names)], pa.binary()),
                 "lengths": pa.array([np.array(lengths, "<i8").tobytes()], pa.binary()),
-                "ids": pa.array([b"".join(ids)], pa.binary())})
+                "ids": pa.array([planes(np.concatenate(ids))], pa.binary())})
 
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = memo.text(raw.decode("utf-8", "replace")) + end
-                names.append(name)
-                lengths.append(len(found) // 4)
-                ids.append(found)
-                size += lengths[-1]
-                if size >= BLOCK_IDS:
-                    yield row()
-                    names, lengths, ids, size, seq = [], [], [], 0, seq + 1
+            own = batch.column(0).to_pylist()
+            texts = batch.column(1).to_pylist()
+            for start, stop in by_size(texts, TEXT_AT_ONCE):
+                found, counts = table.texts(texts[start:stop], END_ID)
+                # Whole documents up to the size of a block.
+                ends = np.cumsum(counts)
+                at = 0
+                while at < len(counts):
+                    low = int(ends[at - 1]) if at else 0
+                    to = int(np.searchsorted(ends, low + BLOCK_IDS - size)) + 1
+                    to = min(to, len(counts))
+                    names += own[start + at:start + to]
+                    lengths += counts[at:to].tolist()
+                    ids.append(found[low:int(ends[to - 1])])
+                    size += len(ids[-1])
+                    at = to
+                    if size >= BLOCK_IDS:
+                        yield row()
+                        before += size
+                        names, lengths, ids, size, seq = [], [], [], 0, seq + 1
         if names:
             yield row()
 
@@ -193,7 +212,7 @@ def id_counts(rows: DataFrame) -> DataFrame:
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(raw, "<u4"))
+                own = np.bincount(from_planes(raw, np.uint32))
                 if len(own) > len(counts):
                     own[:len(counts)] += counts
                     counts = own
@@ -216,7 +235,7 @@ def write_files(docs: DataFrame, tokenizer_file: str) -> tuple[DataFrame, np.nda
     """Encode all texts and write the coded blocks; gives the files and the shared table.
 
     The table has an entry per id of the vocabulary, a fixed size. The offsets are one
-    number per part of the files.
+    number per part of the files, which are as many as shuffle partitions at most.
     """
     rows = staged(id_rows(docs, tokenizer_file), "ids")
     spark = docs.sparkSession
@@ -225,47 +244,30 @@ def write_files(docs: DataFrame, tokenizer_file: str) -> tuple[DataFrame, np.nda
     for r in counted:
         counts[r["id"]] = r["n"]
     freq = shared_table(counts)
-    packed = spark.sparkContext.broadcast(freq)
+    parts = rows.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
+    first = dict(zip((r["part"] for r in parts), accumulate([0, *(r["n"] for r in parts)])))
+    packed = spark.sparkContext.broadcast((freq, first))
 
     def run(batches):
-        table = Table(packed.value)
-        for batch in batches:
-            for r in batch.to_pylist():
-                ids = np.frombuffer(r["ids"], "<u4").astype(np.int64)
-                stream, states, starts = encode(ids, table)
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([r["part"]], pa.int32()),
-                    "seq": pa.array([r["seq"]], pa.int32()),
-                    "n_docs": pa.array([r["n_docs"]], pa.int32()),
-                    "n_ids": pa.array([r["n_ids"]], pa.int64()),
-                    "first_id": pa.array([r["first_id"]], pa.int64()),
-                    "doc_ids": pa.array([r["doc_ids"]], pa.binary()),
-                    "lengths": pa.array([r["lengths"]], pa.binary()),
-                    "stream": pa.array([stream], pa.binary()),
-                    "states": pa.array([states], pa.binary()),
-                    "starts": pa.array([starts], pa.binary()),
-                    "stream_crc32": pa.array([zlib.crc32(stream)], pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(r["ids"])], pa.int64())})
-
-    numbered = rows.join(_first_ids(rows), ["part", "seq"])
-    files = numbered.select(
-        "part", "seq", "n_docs", "n_ids", "first_id", "doc_ids", "lengths", "ids"
-    ).mapInArrow(run, FILE_ROWS)
-    return staged(files, "files"), freq
-
-
-def _first_ids(rows: DataFrame) -> DataFrame:
-    """For each row the ids of all rows before: sums of parts, then sums within a part."""
-    from pyspark.sql import Window
-
-    sizes = rows.select("part", "seq", "n_ids")
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # One row per part of the files: an ordered sum over all is small.
-    before = parts.select("part", F.coalesce(F.sum("n").over(
-        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    within = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.withColumn("own", F.coalesce(F.sum("n_ids").over(within), F.lit(0))).join(
-        before, "part").select("part", "seq", (F.col("before") + F.col("own")).alias("first_id"))
+        table, first_of = Table(packed.value[0]), packed.value[1]
+        for r in rows_of(batches):
+            ids = from_planes(r["ids"], np.uint32)
+            stream, states, starts = encode(ids, table)
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([r["part"]], pa.int32()),
+                "seq": pa.array([r["seq"]], pa.int32()),
+                "n_docs": pa.array([r["n_docs"]], pa.int32()),
+                "n_ids": pa.array([r["n_ids"]], pa.int64()),
+                "first_id": pa.array([first_of[r["part"]] + r["before"]], pa.int64()),
+                "doc_ids": pa.array([r["doc_ids"]], pa.binary()),
+                "lengths": pa.array([r["lengths"]], pa.binary()),
+                "stream": pa.array([stream], pa.binary()),
+                "states": pa.array([states], pa.binary()),
+                "starts": pa.array([starts], pa.binary()),
+                "stream_crc32": pa.array([zlib.crc32(stream)], pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(ids.astype("<u4"))], pa.int64())})
+
+    return staged(rows.mapInArrow(run, FILE_ROWS), "files"), freq
 
 
 def read_files(files: DataFrame, freq: np.ndarray) -> DataFrame:
@@ -277,23 +279,22 @@ def read_files(files: DataFrame, freq: np.ndarray) -> DataFrame:
 
     def run(batches):
         table = Table(packed.value)
-        for batch in batches:
-            for r in batch.to_pylist():
-                if zlib.crc32(r["stream"]) != r["stream_crc32"]:
-                    raise ValueError(f"stream of block {r['part']}/{r['seq']} is damaged")
-                ids = decode(r["n_ids"], r["stream"], r["states"], r["starts"], table)
-                raw = ids.astype("<u4").tobytes()
-                if zlib.crc32(raw) != r["ids_crc32"]:
-                    raise ValueError(f"ids of block {r['part']}/{r['seq']} are damaged")
-                lengths = np.frombuffer(r["lengths"], "<i8")
-                ends = np.cumsum(lengths)
-                first = ends - lengths
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(_unpacked_ids(r["doc_ids"], r["n_docs"]), pa.int64()),
-                    "start": pa.array(first + r["first_id"], pa.int64()),
-                    "n_tokens": pa.array(lengths, pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(raw[4 * a:4 * b])
-                                           for a, b in zip(first, ends)], pa.int64())})
+        for r in rows_of(batches):
+            if zlib.crc32(r["stream"]) != r["stream_crc32"]:
+                raise ValueError(f"stream of block {r['part']}/{r['seq']} is damaged")
+            ids = decode(r["n_ids"], r["stream"], r["states"], r["starts"], table)
+            raw = ids.astype("<u4").tobytes()
+            if zlib.crc32(raw) != r["ids_crc32"]:
+                raise ValueError(f"ids of block {r['part']}/{r['seq']} are damaged")
+            lengths = np.frombuffer(r["lengths"], "<i8")
+            ends = np.cumsum(lengths)
+            first = ends - lengths
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(_unpacked_ids(r["doc_ids"], r["n_docs"]), pa.int64()),
+                "start": pa.array(first + r["first_id"], pa.int64()),
+                "n_tokens": pa.array(lengths, pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(raw[4 * a:4 * b])
+                                       for a, b in zip(first, ends)], pa.int64())})
 
     return files.select("part", "seq", "n_docs", "n_ids", "first_id", "doc_ids", "lengths",
                         "stream", "states", "starts", "stream_crc32", "ids_crc32").mapInArrow(
