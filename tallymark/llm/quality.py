@@ -1,12 +1,17 @@
 """Quality rules: divergence of a text's histograms from those of its language.
 
 A text is described by two histograms: character classes, and common words of the language
-lists plus all others. The references are the mean histograms of all documents of a language.
-A text far from its reference by Jensen-Shannon distance is rejected.
+lists plus all others. The reference of a language is, entry by entry, the mean of the middle
+third of the shares of its texts. Only texts that the histogram judges have a voice: long enough
+and not failed by the base rule. Equal texts have one voice together, and the voices of a source
+add up to one, so that no group of copies and no hot source moves the reference far. A text far
+from its reference by Jensen-Shannon distance is rejected.
 
 Defined results: a null or empty text has zero counts and fails the base rule. A document
-without a language is held against the mean of all documents. Short texts are not judged by
-a histogram (minimum-length guards). Repeated rows give one result each.
+without a language is held against the reference of all documents. Short texts are not judged by
+a histogram (minimum-length guards); where a language has no judged text, distances are null.
+Documents without a source share one unnamed source; a text found in several sources speaks for
+the first by name. Repeated rows give one result each.
 """
 
 from __future__ import annotations
@@ -17,9 +22,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallymark.llm.common import by_size, extended, ship, staged, text_bytes
+from tallymark.llm.lines import NO_SITE, text_key
 
 # Common words of the languages.
 COMMON_WORDS = (
@@ -57,6 +63,8 @@ STATS = pa.schema([
     ("n_words", pa.int64()), ("n_chars", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
     ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
     ("class_counts", pa.list_(pa.int64())), ("word_counts", pa.list_(pa.int64()))])
+TRIM = 1 / 3  # of the voices, left out at either end of an entry's shares
+STEPS = 4096  # of a share, by which shares are ordered
 
 
 @dataclass(frozen=True)
@@ -172,27 +180,70 @@ def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
 def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     """Row by row the square root of the Jensen-Shannon divergence in bits, 0 to 1.
 
-    A row without counts gives NaN.
+    A row without counts, or with a reference of zeros, gives NaN.
     """
     with np.errstate(divide="ignore", invalid="ignore"):
         p = counts / counts.sum(axis=1, keepdims=True)
-        middle = (p + reference) / 2
-        parts = [np.where(x > 0, x * np.log2(x / middle), 0.0).sum(axis=1) for x in (p, reference)]
-        return np.sqrt(np.maximum((parts[0] + parts[1]) / 2, 0.0)) + 0 * p[:, 0]
+        q = reference / reference.sum(axis=-1, keepdims=True)
+        middle = (p + q) / 2
+        parts = [np.where(x > 0, x * np.log2(x / middle), 0.0).sum(axis=-1) for x in (p, q)]
+        return np.sqrt(np.maximum((parts[0] + parts[1]) / 2, 0.0)) + 0 * (p[:, 0] + q[..., 0])
 
 
-def references(stats: DataFrame) -> DataFrame:
-    """Mean shares of all documents by language, and of all under a null language."""
-    def means(name, size, total):
-        return F.array(*[F.coalesce(F.try_divide(F.sum(F.try_divide(F.col(name)[i], total)),
-                                                 F.count_if(total > 0)), F.lit(0.0))
-                         for i in range(size)])
+def base_failed(rules: Rules) -> Column:
+    return (F.col("n_words") < rules.min_words) | (
+        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
+
 
-    aggregated = [means("class_counts", len(CLASSES), F.col("n_chars")).alias("class_reference"),
-                  means("word_counts", len(WORDS) + 1, F.col("n_words")).alias("word_reference")]
-    return (stats.where(F.col("lang").isNotNull()).groupBy("lang").agg(*aggregated)
-            .unionByName(stats.groupBy(F.lit(None).cast("string").alias("lang"))
-                         .agg(*aggregated)))
+def by_key(frame: DataFrame) -> DataFrame:
+    """The rows under the key of all documents, and under that of their language if they have one."""
+    return frame.withColumn("key", F.explode(F.array_compact(F.array(
+        F.lit("all"), F.concat(F.lit("l"), "lang"))))).drop("lang")
+
+
+def references(stats: DataFrame, rules: Rules) -> DataFrame:
+    """(key, class_reference, word_reference) of each language and of all; lists of shares."""
+    first = (stats.where(~base_failed(rules)).groupBy("lang", "digest").agg(
+        F.min("source").alias("source"),
+        *[F.first(c).alias(c) for c in ("n_chars", "n_words", "class_counts", "word_counts")]))
+    voices = staged(first.select("lang", "source", F.inline(F.array(*[F.struct(
+        F.lit(part).alias("part"), F.col(total).alias("total"), F.lit(least).alias("least"),
+        F.col(counts).alias("counts")) for part, total, counts, least in _parts(rules)])))
+        .where(F.col("total") >= F.col("least")).drop("least"), "voices")
+    sizes = by_key(voices.groupBy("lang", "source", "part").agg(F.count("*").alias("n"))).groupBy(
+        "key", "source", "part").agg(F.sum("n").alias("size"))
+    # Shares of zero are left to the remainder of the voices.
+    share = F.col("count") / F.col("total")
+    steps = (
+        voices.select("lang", "source", "part", "total", F.posexplode("counts").alias("i", "count"))
+        .where(F.col("count") > 0)
+        .groupBy("lang", "source", "part", "i", F.floor(share * STEPS).alias("step"))
+        .agg(F.count("*").alias("n"), F.sum(share).alias("sum")))
+    weighed = by_key(steps).join(sizes, ["key", "source", "part"]).groupBy(
+        "key", "part", "i", "step").agg(F.sum(F.col("n") / F.col("size")).alias("weight"),
+                                        F.sum(F.col("sum") / F.col("size")).alias("sum"))
+    # At most STEPS + 1 rows of an entry.
+    entry = Window.partitionBy("key", "part", "i")
+    placed = (
+        weighed.join(sizes.groupBy("key", "part").agg(F.count("*").alias("voices")), ["key", "part"])
+        .withColumn("end", F.col("voices") - F.sum("weight").over(entry) + F.sum("weight").over(
+            entry.orderBy("step"))))
+    taken = F.greatest(F.lit(0.0), F.least("end", (1 - TRIM) * F.col("voices")) - F.greatest(
+        F.col("end") - F.col("weight"), TRIM * F.col("voices")))
+    middle = placed.groupBy("key", "part", "i").agg(F.sum(
+        taken * F.col("sum") / F.col("weight")).alias("share"))
+    return middle.groupBy("key").agg(*[F.map_from_entries(F.collect_list(F.when(
+        F.col("part") == part, F.struct("i", "share")))).alias(part)
+        for part, *_ in _parts(rules)]).select("key", *[
+            F.array(*[F.coalesce(F.col(part)[i], F.lit(0.0)) for i in range(size)])
+            .alias(f"{part}_reference")
+            for part, size in (("class", len(CLASSES)), ("word", len(WORDS) + 1))])
+
+
+def _parts(rules: Rules) -> list[tuple[str, str, str, int]]:
+    """Of each histogram its name, the columns of its total and counts, and the least total."""
+    return [("class", "n_chars", "class_counts", rules.min_class_chars),
+            ("word", "n_words", "word_counts", rules.min_histogram_words)]
 
 
 def judged(docs: DataFrame, keep: list[str], rules: Rules = Rules()) -> DataFrame:
@@ -200,12 +251,14 @@ def judged(docs: DataFrame, keep: list[str], rules: Rules = Rules()) -> DataFram
     verdict; so named, no column of the documents clashes with a result."""
     named = docs.withColumn("lang", F.col("lang").cast("string")) if "lang" in docs.columns \
         else docs.withColumn("lang", F.lit(None).cast("string"))
+    source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None)
     stats = staged(with_stats(named.select(
-        *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "lang", "text"),
-        [*[f"k{i}" for i in range(len(keep))], "lang"]), "stats")
-    compared = _joined(stats)
-    failed = (F.col("n_words") < rules.min_words) | (
-        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
+        *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "lang", "text",
+        F.coalesce(source, F.lit(NO_SITE)).alias("source"),
+        text_key(F.coalesce("text", F.lit(""))).alias("digest")),
+        [*[f"k{i}" for i in range(len(keep))], "lang", "source", "digest"]), "stats")
+    compared = _joined(stats, rules)
+    failed = base_failed(rules)
     odd_class = (F.col("n_chars") >= rules.min_class_chars) & (
         F.col("class_distance") > _limit(
             rules.class_floor, rules.class_base, rules.class_slack, F.col("n_chars")))
@@ -223,17 +276,13 @@ def _limit(floor: float, base: float, slack: float, length: Column) -> Column:
     return F.greatest(F.lit(floor), F.lit(base) + F.lit(slack) / F.sqrt(length))
 
 
-def _joined(stats: DataFrame) -> DataFrame:
-    refs = references(stats)
-    by_lang = refs.where(F.col("lang").isNotNull())
-    overall = refs.where(F.col("lang").isNull()).select(
-        F.lit(None).cast("string").alias("lang"), "class_reference", "word_reference")
-    keyed = by_lang.unionByName(overall).withColumn("key", F.coalesce(
-        F.concat(F.lit("l"), "lang"), F.lit("all"))).drop("lang")
+def _joined(stats: DataFrame, rules: Rules) -> DataFrame:
     side = stats.withColumn("key", F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("all")))
-    wide = side.join(keyed, "key", "left").select(
-        *[c for c in stats.columns if not c.endswith("_counts")],
-        "class_counts", "word_counts", "class_reference", "word_reference")
+    none = [F.array_repeat(F.lit(0.0), n) for n in (len(CLASSES), len(WORDS) + 1)]
+    wide = side.join(references(stats, rules), "key", "left").select(
+        *[c for c in stats.columns if not c.endswith("_counts")], "class_counts", "word_counts",
+        F.coalesce("class_reference", none[0]).alias("class_reference"),
+        F.coalesce("word_reference", none[1]).alias("word_reference"))
     kept = wide.drop("class_counts", "word_counts", "class_reference", "word_reference")
 
     def run(batches):

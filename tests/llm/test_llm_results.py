@@ -423,6 +423,21 @@ def test_quality_verdict_follows_labels(spark):
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.35 * len(bad)
 
 
+@pytest.mark.parametrize("kind", ["one source", "copies", "near copies"])
+def test_quality_reference_is_not_moved_by_a_hot_group(spark, kind):
+    """A third of the rows are odd texts: of one source, equal, or nearly equal on all sources."""
+    rng = random.Random(8)
+    words = "the of and to in a is that house river people garden letter evening".split()
+    rows = [(i, " ".join(rng.choices(words, k=200)), "en", f"s{i % 10}") for i in range(400)]
+    odd = " ".join("#%04d" % rng.randrange(9999) for _ in range(200))
+    for i in range(400, 600):
+        text = odd if kind == "copies" else odd + f" #{i}"
+        rows.append((i, text, "en", "s0" if kind == "one source" else f"s{i % 10}"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_report(frame).collect()}
+    assert all(got[i] for i in range(400)) and not any(got[i] for i in range(400, 600))
+
+
 def test_js_distance():
     counts = np.array([[3.0, 1.0, 0.0], [0.0, 0.0, 0.0]])
     reference = np.array([[0.25, 0.25, 0.5], [1.0, 0.0, 0.0]])
