@@ -6,7 +6,9 @@ the corpus, and no machine holds it whole. Texts are read once into blocks of wo
 block asks the word shards for the counts of its words, then the pair shards for its pairs; a
 pair shard counts the training pairs it is sent, builds its part of the trie and answers
 from it. A context is one node of one shard; one with more than a shard's share of the corpus
-is dealt over several by its successors.
+is dealt over several by its successors. There are fewer dealt contexts than shards; the distinct
+successors of each are counted over the corpus beforehand and sent with its pairs, so that all its
+nodes back off alike, also those without a training pair.
 
 Words are known by 64-bit and successors in a context by 40-bit hashes; a wrong hit needs a
 collision within one context. A text is its words and an end.
@@ -31,7 +33,7 @@ from tallymark.llm.exchange import (
     U, bits, flags, from_planes, gathered, packed, planes, replies, rows_of, shard_count,
     shard_cuts, unpacked)
 from tallymark.llm.minhash import mixed
-from tallymark.llm.trie import ID_BITS, Trie, restored
+from tallymark.llm.trie import ID_BITS, Trie, quantised, restored
 
 END = b"\n"  # no word holds a blank
 BEGIN = U(xxhash.xxh64_intdigest(b"\n\n"))
@@ -144,11 +146,63 @@ def floor_log(counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
     return np.log10((counts + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
 
 
+def dealt_over(counts, total: int, shards: int):
+    """Over how many nodes contexts with these counts are dealt."""
+    return 1 + counts * shards // max(total, 1)
+
+
+class Dealt:
+    """Names of the dealt contexts with the exact numbers of their successors in training."""
+
+    def __init__(self, successors: dict[int, int]) -> None:
+        self.names = np.array(sorted(successors), U)
+        self.sizes = np.array([successors[int(n)] for n in self.names], np.uint32)
+
+    def successors(self, names: np.ndarray) -> np.ndarray:
+        """Of each context its number of successors, 0 where it is not dealt."""
+        if not len(self.names):
+            return np.zeros(len(names), np.uint32)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return np.where(self.names[at] == names, self.sizes[at], 0).astype(np.uint32)
+
+
+def dealt_contexts(rows: DataFrame, counted: DataFrame, starts: int, total: int,
+                   shards: int) -> Dealt:
+    """The contexts with more than a shard's share of the training words, fewer than shards."""
+    def frequent(batches):
+        for row in rows_of(batches):
+            names = np.sort(np.frombuffer(row["names"], U))
+            counts = np.concatenate([from_planes(a, np.uint64) for a in row["counts"]])
+            hot = dealt_over(counts.astype(np.int64), total, shards) > 1
+            yield pa.RecordBatch.from_pydict({"name": pa.array(names[hot].view(np.int64))})
+
+    names = np.array([r["name"] for r in rows.select("block", "names").join(
+        gathered(counted, "counts"), "block").mapInArrow(frequent, "name long").distinct()
+        .collect()], np.int64).view(U)
+    if dealt_over(starts, total, shards) > 1:
+        names = np.append(names, BEGIN)
+
+    def followed(batches):
+        for row in rows_of(batches):
+            block = Block(row)
+            context, word, seen, _ = block.pairs()
+            own = np.append(block.names, BEGIN)
+            hot = np.isin(own, names)[context] & (seen > 0)
+            yield pa.RecordBatch.from_pydict({
+                "context": pa.array(own[context[hot]].view(np.int64)),
+                "word": pa.array(block.names[word[hot]].view(np.int64))})
+
+    found = (rows.mapInArrow(followed, "context long, word long").distinct()
+             .groupBy("context").count().collect()) if len(names) else []
+    return Dealt({r["context"] % (1 << 64): r["count"] for r in found})
+
+
 def ask_pairs(block: Block, counts: np.ndarray, starts: int, total: int, distinct: int,
-              shards: int) -> pa.RecordBatch:
+              shards: int, dealt: Dealt) -> pa.RecordBatch:
     """A block's pairs, one message per shard."""
     context, word, seen, _ = block.pairs()
-    nodes, ids, of_context, split = nodes_of(block, counts, starts, total, shards, context, word)
+    nodes, ids, of_context = nodes_of(block, counts, starts, total, shards, context, word)
+    successors = dealt.successors(np.append(block.names, BEGIN))[context]
     order = np.lexsort((ids, nodes))
     nodes, ids, seen = nodes[order], ids[order], seen[order]
     fine = np.rint(-floor_log(counts, total, distinct) * FINE).astype(np.uint16)[word[order]]
@@ -169,7 +223,7 @@ def ask_pairs(block: Block, counts: np.ndarray, starts: int, total: int, distinc
         "names": sliced(names, cuts, packed),
         "sizes": sliced(sizes.astype(np.uint32), cuts, planes),
         "context_counts": sliced(of_context[order][first].astype(np.uint64), cuts, planes),
-        "split": sliced(split[order][first].astype(np.uint32), cuts, planes),
+        "successors": sliced(successors[order][first], cuts, planes),
         "ids": sliced(ids, bounds, lambda v: planes(v)[:ID_BITS // 8 * len(v)]),
         "seen": sliced(seen.astype(np.uint32), bounds, planes),
         "fine": sliced(fine, bounds, planes)})
@@ -177,31 +231,36 @@ def ask_pairs(block: Block, counts: np.ndarray, starts: int, total: int, distinc
 
 def nodes_of(block: Block, counts: np.ndarray, starts: int, total: int, shards: int,
              context: np.ndarray, word: np.ndarray):
-    """For each pair: its node's name, its id there, its context's count, the node's split.
+    """For each pair: its node's name, its id there, its context's count.
 
     A context with more than a shard's share of all words is dealt over several nodes.
     """
     names = np.append(block.names, BEGIN)
     all_counts = np.append(counts, starts)
     own = all_counts[context]
-    split = 1 + own * shards // max(total, 1)
+    split = dealt_over(own, total, shards)
     ids = mixed(block.names)[word]
     turn = (ids >> U(ID_BITS)) % split.astype(U)
-    return (mixed(names[context] ^ mixed(turn)), ids & U((1 << ID_BITS) - 1), own, split)
+    return (mixed(names[context] ^ mixed(turn)), ids & U((1 << ID_BITS) - 1), own)
 
 
 PAIR_ROWS = ("shard int, block long, names binary, sizes binary, context_counts binary, "
-             "split binary, ids binary, seen binary, fine binary")
+             "successors binary, ids binary, seen binary, fine binary")
 
 
 def tell_weights(rows: list[dict]) -> tuple[list[bytes], int]:
     """Build the shard's trie from the training pairs and answer all pairs from it."""
-    nodes, ids, seen, fine, own, split = [], [], [], [], [], []
+    nodes, ids, seen, fine, own, dealt, codes_of = [], [], [], [], [], [], []
     for r in rows:
         sizes = from_planes(r["sizes"], np.uint32).astype(np.int64)
+        counts = from_planes(r["context_counts"], np.uint64)
+        successors = from_planes(r["successors"], np.uint32)
         nodes.append(np.repeat(unpacked(r["names"]), sizes))
-        own.append(np.repeat(from_planes(r["context_counts"], np.uint64), sizes))
-        split.append(np.repeat(from_planes(r["split"], np.uint32), sizes))
+        own.append(np.repeat(counts, sizes))
+        dealt.append(np.repeat(successors, sizes))
+        # Every node of a dealt context backs off alike, also one without a training pair.
+        codes_of.append(np.repeat(np.where(successors > 0, quantised(np.log10(backoffs(
+            np.maximum(successors, 1), np.maximum(counts, 1)))), 0).astype(np.uint8), sizes))
         seen.append(from_planes(r["seen"], np.uint32))
         fine.append(from_planes(r["fine"], np.uint16))
         high = bytes((8 - ID_BITS // 8) * len(nodes[-1]))
@@ -212,16 +271,22 @@ def tell_weights(rows: list[dict]) -> tuple[list[bytes], int]:
     def picked(parts):
         return np.concatenate([p[t] for p, t in zip(parts, trained)])
 
-    trie = trained_trie(*map(picked, (nodes, ids, seen, fine, own, split)))
-    seen, fine, own, split = [], [], [], []  # not needed any more
+    trie = trained_trie(*map(picked, (nodes, ids, seen, fine, own, dealt)))
+    seen, fine, own, dealt = [], [], [], []  # not needed any more
     node, word = np.concatenate(nodes), np.concatenate(ids)
     nodes, ids = [], []
     found, codes = trie.find(node, word)
+    # A node without a training pair is not in the trie and has code 0.
+    codes = np.where(found | (codes > 0), codes, np.concatenate(codes_of))
     answers = [c.tobytes() + bits(f) for c, f in zip(np.split(codes, cuts), np.split(found, cuts))]
     return answers, trie.length
 
 
-def trained_trie(node, word, seen, fine, own, split) -> Trie:
+def backoffs(successors: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.minimum(DISCOUNT * successors / counts, 1.0)
+
+
+def trained_trie(node, word, seen, fine, own, dealt) -> Trie:
     order = np.lexsort((word, node))
     node, word = node[order], word[order]
     if not len(node):
@@ -231,12 +296,12 @@ def trained_trie(node, word, seen, fine, own, split) -> Trie:
     first = np.flatnonzero(new)
     count = np.add.reduceat(seen[order].astype(np.float64), first)
     node, word = node[first], word[first]
-    fine, own, split = fine[order][first], own[order][first], split[order][first]
+    fine, own, dealt = fine[order][first], own[order][first], dealt[order][first]
     opens = np.concatenate([[True], node[1:] != node[:-1]])
     starts = np.append(np.flatnonzero(opens), len(node))
-    # A dealt context has its successors spread evenly over its nodes.
-    successors = np.diff(starts) * split[starts[:-1]]
-    backoff = np.minimum(DISCOUNT * successors / own[starts[:-1]], 1.0)
+    # A dealt context has more successors than those at this node.
+    successors = np.where(dealt[starts[:-1]] > 0, dealt[starts[:-1]], np.diff(starts))
+    backoff = backoffs(successors, own[starts[:-1]])
     each = np.repeat(backoff, np.diff(starts))
     p = (count - DISCOUNT) / own + each * 10.0 ** (fine / -FINE)
     return Trie(node[starts[:-1]], np.log10(backoff), starts, word, np.log10(np.minimum(p, 1.0)))
@@ -275,12 +340,14 @@ def scored(docs: DataFrame, held: str = "held_out") -> DataFrame:
         ask_counts, "shard int, block long, names binary, counts binary"), tell_counts, "counts")
     distinct = int(counted.groupBy("shard").agg(F.max("figure").alias("n"))
                    .agg(F.sum("n")).first()[0] or 0)
+    dealt = dealt_contexts(rows, counted, starts, total, shards)
     known = rows.join(gathered(counted, "counts"), "block")
 
     def ask(batches):
         for row in rows_of(batches):
             block = Block(row)
-            yield ask_pairs(block, block.counts(row["counts"]), starts, total, distinct, shards)
+            yield ask_pairs(block, block.counts(row["counts"]), starts, total, distinct, shards,
+                            dealt)
 
     weighed = replies(known.mapInArrow(ask, PAIR_ROWS), tell_weights, "weights")
 
@@ -298,7 +365,7 @@ def _scores(row: dict, shards: int, starts: int, total: int, distinct: int) -> p
     counts = block.counts(row["counts"])
     floor = floor_log(counts, total, distinct)
     context, word, _, inverse = block.pairs()
-    nodes, ids, _, _ = nodes_of(block, counts, starts, total, shards, context, word)
+    nodes, ids, _ = nodes_of(block, counts, starts, total, shards, context, word)
     order = np.lexsort((ids, nodes))
     sizes = np.diff(shard_cuts(nodes[order], shards))
     codes, found = [], []

@@ -97,6 +97,28 @@ def test_language_model_is_a_distribution(spark):
     assert total / before == pytest.approx(1.0, abs=0.12)
 
 
+def test_language_model_hot_context_with_one_successor(spark):
+    """A third of the rows are copies; a word of theirs is dealt and has one successor."""
+    texts = ["zig zag " * 10] * 40 + [" ".join(random.Random(i).choices("abcdefghijk", k=30))
+                                      for i in range(80)]
+    rows = [(i, t, False) for i, t in enumerate(texts)]
+    rows += [(1000 + i, f"zig {w}", True) for i, w in enumerate("abcdefghijk")]
+    out = {r["doc_id"]: r["score"] for r in lm.scored(spark.createDataFrame(
+        rows, "doc_id long, text string, held_out boolean")).collect()}
+    words = [t.split() + [None] for t in texts]
+    one = Counter(w for t in words for w in t)
+    two = Counter(p for t in words for p in zip(["<s>"] + t[:-1], t))
+    after, total = Counter(a for a, _ in two), sum(one.values())
+    one["<s>"], distinct = len(texts), len(one)
+    for i, w in enumerate("abcdefghijk"):
+        want = 0
+        for a, b in (("<s>", "zig"), ("zig", w), (w, None)):
+            floor = (one[b] + 0.1) / (total + 0.1 * (distinct + 1))
+            want += math.log10((max(two[a, b] - lm.DISCOUNT, 0)
+                                + lm.DISCOUNT * after[a] * floor) / one[a])
+        assert out[1000 + i] == pytest.approx(want, abs=3 * -trie.LOWEST / trie.LEVELS)
+
+
 def _end_after(rows, word):
     texts = [t.split() + [None] for _, t, held in rows if not held]
     one = Counter(w for t in texts for w in t)
