@@ -54,10 +54,16 @@ class PieceMemo(dict):
 
 
 class PieceTable:
-    """Encodes many texts together: the distinct pieces once, then arrays of ids."""
+    """Encodes many texts together: the distinct pieces once, then arrays of ids.
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = KEPT_PIECES) -> None:
+    A text that holds one of the ``added`` strings, which the encoder cuts out before it cuts
+    words, is encoded in one piece.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = KEPT_PIECES,
+                 added: tuple[str, ...] = ()) -> None:
         self.encode = encode
+        self.added = added
         self.limit = limit
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -99,10 +105,16 @@ class PieceTable:
         strange[:] = odd[entry]
         strange[first] = False
         whole = np.add.reduceat(strange, first) > 0 if len(first) else np.zeros(0, bool)
+        held = np.zeros(len(first), bool)
+        for string in self.added:
+            held |= pc.match_substring(column, string).to_numpy(zero_copy_only=False)
+        whole |= held
         heads = [pieces[i] for i in entry[first]]
         chunks, sizes = [], []
         for i in range(len(first)):
-            if whole[i]:
+            if held[i]:
+                own = [column[i].as_py()]
+            elif whole[i]:
                 own = joined([pieces[j] for j in entry[first[i]:offsets[i + 1]]])
             else:
                 own = [heads[i]] if heads[i] else []

@@ -132,14 +132,14 @@ def worker_pieces(packed: str) -> PieceTable:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(packed)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
 
         def encode_pieces(texts: list[str]) -> list[bytes]:
             return [array("I", e.ids).tobytes()
                     for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         _tokenizers.clear()
-        _tokenizers[key] = PieceTable(encode_pieces)
+        _tokenizers[key] = PieceTable(encode_pieces, added=added)
     return _tokenizers[key]
 
 

@@ -268,6 +268,19 @@ def test_token_files(spark, texts):
         start += len(ids)
 
 
+def test_token_files_with_added_tokens(spark):
+    texts = ["<|endoftext|>", "a  <|endoftext|>  b c", "one<|endoftext|><|endoftext|> two", "a  b",
+             "", "plain words", "x " * 3 + "<|endoftext|>\n\n y", "<|endoftext", "a  b <|endoftext|>"]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    got = {r["doc_id"]: r for r in rans.read_files(*rans.write_files(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"), path)).collect()}
+    tokenizer, start = Tokenizer.from_file(path), 0
+    for i, text in enumerate(texts):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+        assert tuple(got[i]) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 @given(st.lists(st.integers(0, 300), max_size=3000), st.integers(0, 3))
 @settings(max_examples=30, deadline=None)
 def test_range_coder(ids, repeat):
