@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymark.llm import licenses, lines
+from tallymark.llm import centroids, licenses, lines, manifest
 from tallymark.llm.bpe import encoded
 from tallymark.llm.common import table
+from tallymark.llm.counts import token_counts
 from tallymark.llm.decontam import matches
 from tallymark.llm.langid import held_out_report, remainder
 from tallymark.llm.lm import scored
@@ -75,6 +76,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "class_distance", "word_distance")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance, inertia and centroid digest of every usable vector."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings")).drop("scans")
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and verdict of every document, some of them tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    return manifest.manifest(table(spark, sf_dir, "documents"), {"n_chars": more}, tampered)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -87,8 +106,12 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
+        "op11_centroids": op11_centroids,
+        "op12_manifest": op12_manifest,
+        "op13_token_counts": op13_token_counts,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_line_dedup": lines.oracle(), "op4_license_scan": licenses.oracle()}
+    return {"op1_line_dedup": lines.oracle(), "op4_license_scan": licenses.oracle(),
+            "op11_centroids": centroids.oracle(), "op12_manifest": manifest.oracle()}
