@@ -3,10 +3,10 @@
 A model whose pieces hold blanks at their beginning only never merges over the place before a
 run of blanks, nor next to a character that no longer piece holds. Text is cut there into
 pre-tokens. A block (some MB of documents) keeps for each document how often it holds which of
-the block's distinct pre-tokens; these go to Spark as rows, the distinct ones are counted by the
-library, and a join carries each count back to the blocks that asked. Documents then sum count
-times frequency. A pre-token has one row per block at most, however often it occurs, so that no
-word is hot.
+the block's distinct pre-tokens; these go to Spark as rows, sorted by pre-token so that the
+library counts each distinct one once, and the counts are joined to the frequencies of the block
+that asked. Documents then sum count times frequency. A pre-token has one row per block at most,
+however often it occurs, so that no word is hot.
 
 Defined results: a null text is empty; an empty text has no tokens; invalid UTF-8 is read with
 replacement characters; repeated rows and rows without an id each have their own result. Very
@@ -30,10 +30,9 @@ from tallymark.llm.common import ship, staged, text_bytes
 
 #: The sign that the models write for a blank.
 BLANK = "▁"
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 64 << 20
+BLOCK_ROWS = 1 << 20
 SLICE_CHARS = 1 << 20
-#: Pre-tokens that the library gets at a time.
-BATCH = 5_000
 
 
 class Counting:
@@ -110,7 +109,7 @@ class Block:
         self.sizes.append(size)
         self.lengths.append(len(found))
         at = np.fromiter((known.setdefault(w, len(known)) for w in found), np.uint32, len(found))
-        often = np.fromiter(found.values(), np.int64, len(found))
+        often = np.fromiter(found.values(), np.uint32, len(found))
         order = np.argsort(at)
         # Words are numbered as they come: gaps between sorted numbers are small.
         self.at.append(np.diff(at[order], prepend=np.uint32(0)))
@@ -119,7 +118,7 @@ class Block:
 
     def row(self, number: int, id_type: pa.DataType) -> pa.RecordBatch:
         gaps = np.concatenate(self.at) if self.at else np.zeros(0, np.uint32)
-        often = np.concatenate(self.often) if self.often else np.zeros(0, np.int64)
+        often = np.concatenate(self.often) if self.often else np.zeros(0, np.uint32)
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()),
              pa.array([list(self.words)], pa.list_(pa.string())),
@@ -127,7 +126,7 @@ class Block:
              pa.array([self.sizes], pa.list_(pa.int64())),
              pa.array([self.lengths], pa.list_(pa.int32())),
              pa.array([planes(gaps.view(np.uint8), 4)], pa.binary()),
-             pa.array([planes(often.view(np.uint8), 8)], pa.binary())],
+             pa.array([planes(often.view(np.uint8), 4)], pa.binary())],
             names=["block", "words", "ids", "sizes", "lengths", "gaps", "often"])
 
 
@@ -161,21 +160,28 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
             for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = raw.as_py()
                 block.add(doc_id, len(raw), counting.frequencies(raw.decode("utf-8", "replace")))
-                if block.bytes >= BLOCK_BYTES:
+                if block.bytes >= BLOCK_BYTES or len(block.ids) >= BLOCK_ROWS:
                     yield block.row(first + number, id_type)
                     block, number = Block(), number + 1
         if block.ids:
             yield block.row(first + number, id_type)
 
     def count(batches):
+        """Rows sorted by pre-token: the library sees each distinct one once."""
         counting = worker_model(model.value)
+        last, n_last = None, 0
         for batch in batches:
-            words = batch.column(0)
-            for start in range(0, len(words), BATCH):
-                part = words.slice(start, BATCH)
-                yield pa.RecordBatch.from_arrays(
-                    [part, pa.array(counting.pieces(part.to_pylist()), pa.int32())],
-                    names=["word", "n"])
+            coded = batch.column("word").dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            if not words:
+                continue
+            known = [n_last] if words[0] == last else []
+            found = known + counting.pieces(words[len(known):])
+            last, n_last = words[-1], found[-1]
+            n = np.array(found, np.int32)[coded.indices.to_numpy()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("at"), pa.array(n)],
+                names=["asked", "at", "n"])
 
     def summed(block: pa.Table, answers: pa.Table) -> pa.Table:
         lengths = block["lengths"].combine_chunks().flatten().to_numpy()
@@ -187,7 +193,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
                             dtype=np.int64)
         before = np.where(starts > 0, running[starts - 1], 0) if entries else starts
         at = running - np.repeat(before, lengths)
-        often = from_planes(block["often"][0].as_py(), entries, np.int64)
+        often = from_planes(block["often"][0].as_py(), entries, np.uint32)
         pieces = np.zeros(len(answers), np.int64)
         pieces[answers["at"].to_numpy()] = answers["n"].to_numpy()
         tokens = np.concatenate([[0], np.cumsum(often * pieces[at])])
@@ -202,7 +208,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
             blocks, f"block long, words array<string>, ids array<{kind}>, sizes array<long>, "
                     "lengths array<int>, gaps binary, often binary"), "frequencies")
     words = found.select("block", F.posexplode("words").alias("at", "word"))
-    counted = words.select("word").distinct().mapInArrow(count, "word string, n int")
-    answers = words.join(counted, "word").select(F.col("block").alias("asked"), "at", "n")
+    answers = words.repartition("word").sortWithinPartitions("word").mapInArrow(
+        count, "asked long, at int, n int")
     return found.drop("words").groupBy("block").cogroup(answers.groupBy("asked")).applyInArrow(
         summed, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
