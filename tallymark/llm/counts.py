@@ -32,6 +32,8 @@ from tallymark.llm.common import ship, staged, text_bytes
 BLANK = "▁"
 BLOCK_BYTES = 64 << 20
 BLOCK_ROWS = 1 << 20
+#: Counts that a task packs together for the blocks that asked.
+ANSWERS = 1 << 20
 SLICE_CHARS = 1 << 20
 
 
@@ -142,6 +144,22 @@ def from_planes(packed: bytes, n: int, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(kind)[:, 0]
 
 
+def answers_by_block(waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Counts of some pre-tokens as one row for each block that asked for them."""
+    block, at, n = map(np.concatenate, zip(*waiting))
+    order = np.lexsort((at, block))
+    block, at, n = block[order], at[order].astype(np.uint32), n[order]
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    stops = np.append(starts[1:], len(block))
+    gaps = [planes(np.diff(at[a:b], prepend=np.uint32(0)).view(np.uint8), 4)
+            for a, b in zip(starts, stops)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[starts]), pa.array(stops - starts, pa.int32()),
+         pa.array(gaps, pa.binary()),
+         pa.array([planes(n[a:b].view(np.uint8), 4) for a, b in zip(starts, stops)], pa.binary())],
+        names=["asked", "entries", "gaps", "pieces"])
+
+
 def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
     """Id, bytes, tokens and whether these exceed ``limit``, of every document."""
     spark = docs.sparkSession
@@ -170,6 +188,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
         """Rows sorted by pre-token: the library sees each distinct one once."""
         counting = worker_model(model.value)
         last, n_last = None, 0
+        waiting, rows = [], 0
         for batch in batches:
             coded = batch.column("word").dictionary_encode()
             words = coded.dictionary.to_pylist()
@@ -178,10 +197,14 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
             known = [n_last] if words[0] == last else []
             found = known + counting.pieces(words[len(known):])
             last, n_last = words[-1], found[-1]
-            n = np.array(found, np.int32)[coded.indices.to_numpy()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("at"), pa.array(n)],
-                names=["asked", "at", "n"])
+            n = np.array(found, np.uint32)[coded.indices.to_numpy()]
+            waiting.append((batch.column("block").to_numpy(), batch.column("at").to_numpy(), n))
+            rows += len(n)
+            if rows >= ANSWERS:
+                yield answers_by_block(waiting)
+                waiting, rows = [], 0
+        if waiting:
+            yield answers_by_block(waiting)
 
     def summed(block: pa.Table, answers: pa.Table) -> pa.Table:
         lengths = block["lengths"].combine_chunks().flatten().to_numpy()
@@ -194,8 +217,10 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
         before = np.where(starts > 0, running[starts - 1], 0) if entries else starts
         at = running - np.repeat(before, lengths)
         often = from_planes(block["often"][0].as_py(), entries, np.uint32)
-        pieces = np.zeros(len(answers), np.int64)
-        pieces[answers["at"].to_numpy()] = answers["n"].to_numpy()
+        pieces = np.zeros(sum(answers["entries"].to_pylist()), np.int64)
+        for n, gaps, found in zip(*(answers[c].to_pylist() for c in ("entries", "gaps", "pieces"))):
+            pieces[np.cumsum(from_planes(gaps, n, np.uint32), dtype=np.int64)] = from_planes(
+                found, n, np.uint32)
         tokens = np.concatenate([[0], np.cumsum(often * pieces[at])])
         total = tokens[ends] - tokens[starts]
         return pa.table({
@@ -209,6 +234,6 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
                     "lengths array<int>, gaps binary, often binary"), "frequencies")
     words = found.select("block", F.posexplode("words").alias("at", "word"))
     answers = words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        count, "asked long, at int, n int")
+        count, "asked long, entries int, gaps binary, pieces binary")
     return found.drop("words").groupBy("block").cogroup(answers.groupBy("asked")).applyInArrow(
         summed, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
