@@ -16,8 +16,10 @@ BOM = "\ufeff"
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 MONTH_PATTERN = r"^\d{4}-[A-Za-z]{3}$"
 STRICT_MONTH_PATTERN = r"^\d{4}-(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)$"
-# Stands for a comma inside quotes while a line is split on commas.
-_HELD_COMMA = "\u0001"
+# While a line is split on commas, one inside quotes is written with an escape sign, and so is
+# the sign itself, so that any text comes back as it was.
+_ESCAPE = "\u0001"
+_COMMA, _SELF = _ESCAPE + "b", _ESCAPE + "a"
 
 
 @dataclass(frozen=True)
@@ -94,21 +96,24 @@ def strip_cell(cell) -> Column:
 
 
 def split_cells(line) -> Column:
-    """Cells of one CSV line, quotes removed; commas inside quotes stay.
+    """Cells of one CSV record, quotes removed; commas and line breaks inside quotes stay.
 
-    Pieces between quote marks alternate between outside and inside, so holding
+    Pieces between quote marks alternate between outside and inside, so escaping
     the commas of the odd ones gives a split of any width in one pass.
     """
     line = as_column(line)
-    plain = F.split(line, ",")
+
+    def swapped(text: Column, old: str, new: str) -> Column:
+        return F.replace(text, F.lit(old), F.lit(new))
+
     held = F.array_join(
         F.transform(
-            F.split(line, '"'),
-            lambda piece, i: F.when(i % 2 == 1, F.translate(piece, ",", _HELD_COMMA))
-            .otherwise(piece)),
+            F.split(swapped(line, _ESCAPE, _SELF), '"'),
+            lambda piece, i: F.when(i % 2 == 1, swapped(piece, ",", _COMMA)).otherwise(piece)),
         "")
-    quoted = F.transform(F.split(held, ","), lambda c: F.translate(c, _HELD_COMMA, ","))
-    cells = F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
+    quoted = F.transform(
+        F.split(held, ","), lambda c: swapped(swapped(c, _COMMA, ","), _SELF, _ESCAPE))
+    cells = F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
     return F.transform(cells, strip_cell)
 
 

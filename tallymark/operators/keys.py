@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.operators.ranking import top_k
+from tallymark.operators.ranking import positions, top_k
 from tallymark.operators.totals import join_on
 from tallymark.schemas import BUSINESS_KEY, MEASURE
+from tallymark.sources.workspace import written
 
 
 def keyed_counts(df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE) -> DataFrame:
@@ -61,25 +62,50 @@ def multi_source_keys(df: DataFrame, key=BUSINESS_KEY, source: str = "source_fil
         F.count(source).alias("unique_source_files")).filter("unique_source_files > 1")
 
 
+def _numbered_lists(
+    rows: DataFrame, key, value: str, alias: str, chunk: int,
+) -> DataFrame:
+    """The distinct values of each key as sorted texts of ``chunk`` values, numbered from 1."""
+    distinct = rows.filter(F.col(value).isNotNull()).select(*key, value).distinct()
+    placed = positions(distinct, key, [F.asc(value)], "_at")
+    return (
+        placed.withColumn("chunk", F.floor((F.col("_at") - 1) / chunk).cast("bigint") + 1)
+        .groupBy(*key, "chunk")
+        .agg(F.sort_array(F.collect_list(value)).alias("_list"))
+        .select(*key, "chunk", F.array_join(
+            F.transform("_list", lambda v: v.cast("string")), " | ").alias(alias)))
+
+
 def overlap_sources(
     df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE, source: str = "source_file",
+    chunk: int = 1000,
 ) -> DataFrame:
     """Repeated keys with the distinct sources and distinct measures of their copies.
 
-    Copies are first folded to distinct (key, source, measure), so the lists hold
-    distinct values only however many copies a key has.
+    A list has one row per ``chunk`` entries: ordinary keys have one row, and a key that very
+    many sources share has as many as it needs. Values are put in order over the whole table
+    and cut by their position, so that no task and no row holds all values of a key.
     """
-    folded = df.groupBy(*key, source, measure).agg(F.count("*").alias("_copies"))
-    joined = folded.groupBy(*key).agg(
-        F.sum("_copies").alias("_rows"),
-        F.sum(F.when(F.col(source).isNotNull(), F.col("_copies")).otherwise(0))
+    folded = written(
+        df.groupBy(*key, source, measure).agg(F.count("*").alias("_copies")), "overlap")
+    sizes = folded.groupBy(*key, source).agg(F.sum("_copies").alias("_n")).groupBy(*key).agg(
+        F.sum("_n").alias("_rows"),
+        F.coalesce(F.sum(F.when(F.col(source).isNotNull(), F.col("_n"))), F.lit(0))
         .alias("duplicate_row_count"),
-        F.sort_array(F.collect_set(source)).alias("_sources"),
-        F.sort_array(F.collect_set(measure)).alias("_values"))
-    return joined.filter("_rows > 1").select(
-        *key,
-        "duplicate_row_count",
-        F.size("_sources").cast("bigint").alias("unique_source_files"),
-        F.array_join("_sources", " | ").alias("source_files"),
-        F.array_join(F.transform("_values", lambda v: v.cast("string")), " | ")
-        .alias("vehicle_counts"))
+        F.count(source).alias("unique_source_files"))
+    repeated = written(sizes.filter("_rows > 1").drop("_rows"), "overlap-keys")
+    rows = join_on(folded, repeated.select(*key), key, "left_semi")
+    lists = [
+        _numbered_lists(rows, key, source, "source_files", chunk),
+        _numbered_lists(rows, key, measure, "vehicle_counts", chunk)]
+    # A chunk may be there for one list only; a key without sources and measures has one row.
+    numbers = repeated.select(*key, F.lit(1).cast("bigint").alias("chunk"))
+    for found in lists:
+        numbers = numbers.union(found.select(*key, "chunk"))
+    out = join_on(numbers.distinct(), repeated, key)
+    for found in lists:
+        out = join_on(out, found, [*key, "chunk"], "left")
+    return out.select(
+        *key, "duplicate_row_count", "unique_source_files", "chunk",
+        F.coalesce("source_files", F.lit("")).alias("source_files"),
+        F.coalesce("vehicle_counts", F.lit("")).alias("vehicle_counts"))

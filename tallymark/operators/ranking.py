@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallymark.operators.totals import join_on
+from tallymark.sources.workspace import written
 
 
 def _order(measure: str, ascending: bool) -> Column:
@@ -30,37 +31,41 @@ def top_k(
     return kept if rank_alias else kept.drop(position)
 
 
-def _magnitude(measure: str) -> Column:
-    """Order-keeping bucket of a count: its leading six binary digits and its length."""
-    m = F.abs(F.col(measure))
-    length = F.length(F.bin(m))
-    # Shifting as a division keeps the shift variable per row.
-    lead = F.floor(m / F.pow(F.lit(2.0), F.greatest(length - 6, F.lit(0))))
-    bucket = F.when(m == 0, F.lit(0)).otherwise(length * 64 + lead).cast("int")
-    return F.when(F.col(measure) < 0, -bucket).otherwise(bucket)
+def in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows dealt by ``order`` to ranges of equal size, with their range and place in it.
+
+    Written and read back: a second sampling would draw other ranges.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(
+        dealt.withColumns({
+            "_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}),
+        "ranges")
+
+
+def positions(df: DataFrame, partition, order: list[Column], alias: str) -> DataFrame:
+    """Every row with its position, from 1, in the ``order`` of its partition.
+
+    A partition may hold a great part of all rows and many of them may be equal in the first
+    columns of the order, so no task sorts a partition: rows are dealt to ranges of the whole
+    order, and what the earlier ranges hold of a partition is added to the place in the range.
+    """
+    keys = [*partition, "_range"]
+    dealt = in_ranges(df, [*[F.asc_nulls_first(p) for p in partition], *order])
+    # One row per range and partition in it.
+    sizes = dealt.groupBy(*keys).agg(F.count("*").alias("_size"), F.min("_place").alias("_first"))
+    before = W.partitionBy(*partition).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *keys, (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1)
+        .alias("_offset"))
+    position = (F.col("_place") + F.col("_offset")).cast("bigint")
+    return join_on(dealt, offsets, keys).withColumn(alias, position).select(*df.columns, alias)
 
 
 def ranked(df: DataFrame, measure: str, tie, partition, alias: str) -> DataFrame:
     """Every row with its position by falling ``measure`` within its partition.
 
-    A partition may hold a great part of all rows, so no task sorts one whole
-    partition. Rows are numbered within buckets of similar size; the count of rows in
-    higher buckets, from a small table of bucket sizes, is added to that number.
+    The ``tie`` columns settle equal measures in ascending order, over all tasks alike.
     """
-    keys = [*partition, "_bucket"]
-    rows = df.withColumn("_bucket", F.coalesce(_magnitude(measure), F.lit(-(2**31) + 1)))
-    above = (
-        W.partitionBy(*partition).orderBy(F.desc("_bucket"))
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    sizes = (
-        rows.groupBy(*keys).agg(F.count("*").alias("_size"))
-        .withColumn("_above", F.coalesce(F.sum("_size").over(above), F.lit(0)))
-    )
-    inside = W.partitionBy(*keys).orderBy(
-        F.desc_nulls_last(measure), *[F.asc_nulls_last(t) for t in tie])
-    local = rows.withColumn("_inside", F.row_number().over(inside))
-    position = (F.col("_inside") + F.col("_above")).cast("bigint")
-    return (
-        join_on(local, sizes, keys).withColumn(alias, position).select(*df.columns, alias)
-    )
+    order = [F.desc_nulls_last(measure), *[F.asc_nulls_last(t) for t in tie]]
+    return positions(df, partition, order, alias)

@@ -9,7 +9,10 @@ from tallymark.operators import checks
 from tallymark.operators.checks import Rule, outside, to_rows
 from tallymark.operators.keys import duplicate_keys, duplicate_records
 from tallymark.operators.ranking import top_k
+from tallymark.operators.selection import quantiles
 from tallymark.schemas import ALL_PASSED, BUSINESS_KEY, MEASURE, SILVER_COLUMNS, VALID_YEARS
+from tallymark.sources.workspace import written
+
 
 def dq_unified(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
     """Unified validation: everything but NULL text and full duplicates is critical."""
@@ -46,22 +49,21 @@ def dq_profile(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
 def count_statistics(df: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of the measure.
 
-    Rows are folded to distinct counts first, so the quartiles are taken from one entry
-    per distinct count and not from one per row.
+    Rows are folded to distinct counts first, and the quartiles come from counting these in
+    ever narrower ranges: no task holds all distinct counts.
     """
     counts = df.filter(F.col(MEASURE).isNotNull())
-    folded = counts.groupBy(MEASURE).agg(F.count("*").alias("n"))
-    points = F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])
-    quartiles = folded.agg(F.percentile(MEASURE, points, F.col("n"))).scalar()
+    folded = written(counts.groupBy(MEASURE).agg(F.count("*").alias("n")), "counts")
+    quartiles = quantiles(folded, MEASURE, "n", (0.25, 0.5, 0.75))
     moments = counts.agg(
         F.count("*").alias("value_count"),
         rounded(F.avg(MEASURE)).alias("mean"),
         rounded(F.stddev_samp(MEASURE)).alias("stddev"),
         F.min(MEASURE).alias("min"),
         F.max(MEASURE).alias("max"))
-    return moments.withColumn("_q", quartiles).select(
+    return moments.select(
         "value_count", "mean", "stddev", "min",
-        *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
+        *[F.lit(q).cast("double").alias(name) for q, name in zip(quartiles, ("p25", "p50", "p75"))],
         "max")
 
 

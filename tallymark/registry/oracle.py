@@ -130,6 +130,8 @@ relation("rrows", ["silver"], f"""
 relation("named", ["rrows"], """
   SELECT *, CASE WHEN f % 37 = 0 THEN 'Grand Total'
                  WHEN dataset_type = 'Manufacturer' AND r % 5 = 0 THEN dimension_value || ', LTD'
+                 WHEN dataset_type = 'Manufacturer' AND r % 7 = 0
+                 THEN dimension_value || chr(10) || 'and' || chr(1) || 'Co'
                  ELSE dimension_value END AS name,
          CASE WHEN r % 59 = 0 THEN 2 ELSE 1 END AS copies
   FROM rrows""")
@@ -431,7 +433,7 @@ SELECT {_KEY}, count(source_file) AS duplicate_row_count,
 FROM repeated GROUP BY {_KEY} HAVING count(DISTINCT source_file) > 1""")
 oracle("overlap_sources", ["repeated"], f"""
 SELECT {_KEY}, count(source_file) AS duplicate_row_count,
-       count(DISTINCT source_file) AS unique_source_files,
+       count(DISTINCT source_file) AS unique_source_files, CAST(1 AS BIGINT) AS chunk,
        array_to_string(list_sort(list_distinct(list(source_file))), ' | ') AS source_files,
        array_to_string(list_sort(list_distinct(list(vehicle_count))), ' | ') AS vehicle_counts
 FROM repeated GROUP BY {_KEY}""")

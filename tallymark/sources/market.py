@@ -255,8 +255,8 @@ class Market:
 
     def scanned_lines(self) -> DataFrame:
         """The Bronze table from report files: the market written as text and scanned."""
-        root = self.fresh_path("reports")
-        write_reports(self.report_lines(), root)
+        root = table_path(self.spark, f"reports-{self.version()}")
+        self.store.once(root, lambda: write_reports(self.report_lines(), root))
         return scan_partitions(self.spark, root, self.fresh_path("scanned"))
 
     def fresh_path(self, name: str) -> str:

@@ -13,11 +13,15 @@ from tallymark.functions.reports import BOM
 from tallymark.plans.bronze import cut
 from tallymark.schemas import MEASURE, REPORT_HEADERS
 from tallymark.sources.market import row_hash
+from tallymark.sources.records import records
 from tallymark.sources.report_files import split_physical
+from tallymark.sources.workspace import written
 
 MONTHS = range(1, 13)
 LABELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 NO_BREAK = "\u00a0"
+# A line break and a control sign within a quoted name.
+BROKEN = "\nand\u0001Co"
 # Years added to the month labels of files whose content is not what their name says.
 SHIFT = 7
 
@@ -93,14 +97,24 @@ def report_lines(silver: DataFrame) -> DataFrame:
         F.when(F.col("file_hash") % 37 == 0, "Grand Total")
         .when(maker & (F.col("row_hash") % 5 == 0),
               F.concat("dimension_value", F.lit(f", LTD {NO_BREAK} ")))
+        .when(maker & (F.col("row_hash") % 7 == 0), F.concat("dimension_value", F.lit(BROKEN)))
         .when(maker, F.concat("dimension_value", F.lit(f" {NO_BREAK} ")))
         .otherwise(F.col("dimension_value"))
     )
     copies = F.when(F.col("row_hash") % 59 == 0, 2).otherwise(1)
+    # Rows stand in the order of a hash of their value; each copy and each physical line of one
+    # has a place of its own.
+    place = F.shiftleft(F.xxhash64("dimension_value"), 3)
     data = rows.select(
-        "source_file", "state_code", F.lit(2).alias("block"),
-        F.explode(F.sequence(F.lit(1), copies)).alias("row"),
-        _joined(name, F.col("texts"), stated, maker).alias("value"))
+        "source_file", "state_code", F.lit(2).alias("block"), place.alias("place"),
+        F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"),
+        _joined(name, F.col("texts"), stated, maker).alias("value")
+    ).select(
+        "source_file", "state_code", "block", "place", "copy",
+        F.posexplode(F.split("value", "\n")).alias("at", "value")
+    ).select(
+        "source_file", "state_code", "block",
+        (F.col("place") + 4 * F.col("copy") + F.col("at")).alias("row"), "value")
 
     files = rows.groupBy("source_file", "dataset_type", "state_code", "state", "year", "file_hash").agg(
         *[F.sum(F.element_at("counts", m)).alias(f"t{m}") for m in MONTHS])
@@ -145,4 +159,4 @@ def report_lines(silver: DataFrame) -> DataFrame:
         "source_file", "state_code", "block", F.lit(0).alias("row"), "value")
     lines = data.unionByName(framed)
     named = lines.withColumn("source_file", F.explode(_names("source_file"))).drop("state_code")
-    return cut(split_physical(named))
+    return cut(records(split_physical(named), written))

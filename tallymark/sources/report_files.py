@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallymark.functions.reports import BOM, DEFAULT_NAMING, ReportNaming
 from tallymark.plans.bronze import cut
+from tallymark.sources.records import records
+from tallymark.sources.workspace import written
 
 LINE_SCHEMA = (
     "source_file string, dataset_type string, is_national boolean, is_processed boolean, "
@@ -69,8 +71,8 @@ def scan_partitions(
     spark: SparkSession, root: str, table: str, naming: ReportNaming = DEFAULT_NAMING,
 ) -> DataFrame:
     """All lines of reports that :func:`write_reports` wrote, kept as the Bronze table."""
-    raw = _physical(spark.read.text(root), F.col("source_file"))
-    cut(split_physical(raw), naming).write.mode("overwrite").parquet(table)
+    raw = split_physical(_physical(spark.read.text(root), F.col("source_file")))
+    cut(records(raw, written), naming).write.mode("overwrite").parquet(table)
     return spark.read.schema(LINE_SCHEMA).parquet(table)
 
 
@@ -81,12 +83,13 @@ def scan_lines(
 
     Files are read line by line, so one of any size is split over tasks. The place of a
     line (start of its split, running number in the task, piece of the physical line) is
-    written with it: later steps compare places and must not see them drawn twice.
+    written with it: later steps compare places and must not see them drawn twice. A quoted
+    cell may hold line breaks, wherever a file is split (``records``).
     """
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
     name = relative_path(F.col("_metadata.file_path"), root)
-    raw = _physical(files, name)
-    cut(split_physical(raw), naming).write.mode("overwrite").parquet(table)
+    lines = records(split_physical(_physical(files, name)), written)
+    cut(lines, naming).write.mode("overwrite").parquet(table)
     read = spark.read.schema(LINE_SCHEMA).parquet(table)
     # A file without a byte gives no line; it gets a blank one, so that checks list it.
     listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select(

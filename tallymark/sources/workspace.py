@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -26,6 +27,13 @@ def table_path(spark: SparkSession, *parts: str) -> str:
         shared_folder(spark), f"tallymark-{spark.sparkContext.applicationId}", *parts])
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once and read back: what it draws or samples is settled."""
+    path = table_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def digest(*parts) -> str:
     return hashlib.sha1("\x00".join(map(str, parts)).encode()).hexdigest()[:16]
 
@@ -50,7 +58,11 @@ class TableStore:
 
     def ensure(self, path: str, build) -> None:
         """Write the table unless this application already has."""
+        self.once(path, lambda: build().write.mode("overwrite").parquet(path))
+
+    def once(self, path: str, write) -> None:
+        """Let ``write`` make what is to lie at the path, unless it lies there already."""
         with self._lock:
             if path not in self._written:
-                build().write.mode("overwrite").parquet(path)
+                write()
                 self._written.add(path)
