@@ -187,15 +187,26 @@ def structure_check(reports: Reports, max_months: int = 36) -> DataFrame:
 
 
 def structure_summary(reports: Reports, expected: dict[str, int] | None = None) -> DataFrame:
-    """Valid and invalid reports per dataset type, against the expected number of files."""
+    """Valid and invalid reports per dataset type, against the expected number of files.
+
+    With numbers expected, a type without a report is listed with 0 files, and one that nobody
+    expected without a verdict.
+    """
     out = structure_check(reports).groupBy("dataset_type").agg(
         F.count("*").alias("files"),
         F.count_if(F.col("status") == "VALID").alias("valid_files"),
         F.count_if(F.col("status") == "INVALID").alias("invalid_files"))
     if not expected:
         return out
-    pairs = F.create_map(*[F.lit(x) for kv in expected.items() for x in kv])
-    return out.withColumn("expected_files", F.element_at(pairs, F.col("dataset_type")))
+    wanted = reports.lines.sparkSession.createDataFrame(
+        list(expected.items()), "dataset_type string, expected_files long")
+    both = wanted.join(out, "dataset_type", "full").select(
+        "dataset_type",
+        *[F.coalesce(c, F.lit(0)).alias(c)
+          for c in ("files", "valid_files", "invalid_files")], "expected_files")
+    return both.withColumn("files_status", F.when(
+        F.col("files") == F.col("expected_files"), "PASS").when(
+        F.col("expected_files").isNotNull(), "FAIL"))
 
 
 def total_reconcile(reports: Reports) -> DataFrame:

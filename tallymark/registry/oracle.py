@@ -261,15 +261,54 @@ SELECT source_file AS file,
             WHEN NOT has_months THEN 'No monthly columns found in ' || source_file
             ELSE 'No valid rows found after transformation' END AS error
 FROM rfiles WHERE NOT has_header OR NOT has_months OR f % 37 = 0""")
-oracle("report_coverage", ["lineage", "st", "silver"], f"""
-SELECT p.state_code, p.report, CAST(p.y AS BIGINT) AS from_year, CAST(p.y AS BIGINT) AS to_year,
-       CASE WHEN l.source_file IS NULL THEN 'MISSING'
-            WHEN l.found_year = l.name_year THEN 'DELIVERED' ELSE 'MISMATCH' END AS status
-FROM (SELECT state_code, report, y
-      FROM st, (VALUES ('vehicle_category'), ('fuel'), ('manufacturer')) AS k(report),
-           (SELECT DISTINCT unnest(range({FIRST}, {LAST} + 1)) AS y) q) p
-LEFT JOIN lineage l ON l.state_code = p.state_code AND lower(l.dataset_type) = p.report
-     AND l.name_year = p.y""")
+relation("planned", ["st", "silver"], f"""
+  SELECT state_code, report, CAST(y AS BIGINT) AS from_year, CAST(y AS BIGINT) AS to_year
+  FROM st, (VALUES ('vehicle_category'), ('fuel'), ('manufacturer')) AS k(report),
+       (SELECT DISTINCT unnest(range({FIRST}, {LAST} + 1)) AS y) q""")
+relation("coverage", ["lineage", "planned"], """
+  SELECT p.*, CASE WHEN l.source_file IS NULL THEN 'MISSING'
+                   WHEN l.found_year = l.name_year THEN 'DELIVERED' ELSE 'MISMATCH' END AS status
+  FROM planned p
+  LEFT JOIN lineage l ON l.state_code = p.state_code AND lower(l.dataset_type) = p.report
+       AND l.name_year = p.from_year""")
+oracle("report_coverage", ["coverage"], "SELECT * FROM coverage")
+relation("events", ["planned"], f"""
+  SELECT CASE WHEN h % 13 = 0 THEN 'zz' ELSE state_code END AS state_code, report, from_year, to_year,
+         1700000000 + h % 100000 + 60 * i AS at,
+         CASE WHEN i < h % 4 OR h % 5 = 0 THEN 'FAILED' WHEN h % 7 = 0 THEN 'SKIPPED'
+              ELSE 'SUCCESS' END AS status,
+         CASE WHEN i < h % 4 OR h % 5 = 0 THEN 'try "' || i || '", failed' ELSE '' END AS message
+  FROM (SELECT *, {hashed('state_code', 'report', 'from_year')} AS h FROM planned),
+       (VALUES (1), (2), (3)) AS k(i)
+  WHERE i <= h % 4 AND NOT (i = h % 4 AND h % 5 <> 0 AND h % 7 <> 0 AND h % 11 = 0)""")
+relation("standing", ["events"], """
+  SELECT e.state_code, e.report, e.from_year, e.to_year,
+         count(CASE WHEN e.status <> 'SKIPPED' THEN 1 END) AS attempts,
+         count(CASE WHEN e.status = 'FAILED' THEN 1 END) AS failures,
+         min(CASE WHEN e.status = 'SUCCESS' THEN e.at END) AS first_success,
+         (SELECT x FROM (SELECT row(l.at, l.status, l.message) AS x FROM events l
+                         WHERE l.state_code = e.state_code AND l.report = e.report
+                         AND l.from_year = e.from_year) q ORDER BY x DESC LIMIT 1) AS l
+  FROM events e GROUP BY ALL""")
+_STANDING = "l[2] AS last_status, l[1] AS last_time, l[3] AS last_message, first_success"
+relation("status", ["coverage", "standing"], f"""
+  SELECT c.state_code, c.report, c.from_year, c.to_year, coalesce(attempts, 0) AS attempts,
+         coalesce(failures, 0) AS failures, coalesce(last_status, 'NOT RUN') AS last_status,
+         last_time, last_message, first_success, c.status AS found
+  FROM coverage c LEFT JOIN (SELECT *, {_STANDING} FROM standing) s
+       ON s.state_code = c.state_code AND s.report = c.report AND s.from_year = c.from_year""")
+oracle("run_status", ["status"], """
+SELECT *, CASE found WHEN 'MISMATCH' THEN 'WRONG MONTHS'
+                     WHEN 'DELIVERED' THEN CASE WHEN last_status IN ('SUCCESS', 'SKIPPED') THEN 'DONE'
+                                                ELSE 'NOT LOGGED' END
+                     ELSE CASE last_status WHEN 'FAILED' THEN 'RETRY' WHEN 'NOT RUN' THEN 'OPEN'
+                                           ELSE 'LOST' END END AS verdict
+FROM status""")
+oracle("reports_to_fetch", ["coverage"], """
+SELECT state_code, report, from_year, to_year FROM coverage WHERE status <> 'DELIVERED'""")
+oracle("unplanned_events", ["standing"], f"""
+SELECT state_code, report, from_year, to_year, attempts, failures, {_STANDING}
+FROM standing WHERE state_code = 'zz'""")
 relation("structure", ["rfiles", "flatrows"], """
   SELECT fl.source_file, fl.dataset_type,
          CAST(CASE WHEN fl.has_header THEN r.n ELSE 0 END AS BIGINT) AS row_count,
@@ -284,6 +323,15 @@ oracle("bronze_structure_summary", ["structure"], f"""
 SELECT dataset_type, count(*) AS files, {count_if("status = 'VALID'")} AS valid_files,
        {count_if("status = 'INVALID'")} AS invalid_files
 FROM structure GROUP BY dataset_type""")
+oracle("bronze_expected_files", ["structure", "planned"], f"""
+SELECT p.dataset_type, coalesce(s.files, 0) AS files, coalesce(s.valid, 0) AS valid_files,
+       coalesce(s.invalid, 0) AS invalid_files, p.n AS expected_files,
+       CASE WHEN p.n = s.files THEN 'PASS' ELSE 'FAIL' END AS files_status
+FROM (SELECT k.dataset_type, n FROM (VALUES ('Vehicle_Category'), ('Fuel'), ('Manufacturer'))
+      AS k(dataset_type), (SELECT count(*) AS n FROM planned WHERE report = 'fuel') q) p
+LEFT JOIN (SELECT dataset_type, count(*) AS files, {count_if("status = 'VALID'")} AS valid,
+                  {count_if("status = 'INVALID'")} AS invalid FROM structure GROUP BY ALL) s
+  USING (dataset_type)""")
 oracle("total_reconcile", ["flat", "flatrows"], """
 SELECT *, CASE WHEN month_sum = stated_total THEN 'PASS' ELSE 'CHECK' END AS status
 FROM (SELECT source_file, 'ROW' AS direction, dimension_value AS item,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallymark.functions.numbers import rounded
 from tallymark.operators import checks, keys
 from tallymark.plans import (
-    analytics, bronze, gold, measures, pipeline, quality, reconciliation, silver, views)
+    analytics, bronze, gold, measures, pipeline, quality, reconciliation, run_log, silver, views)
 from tallymark.schemas import (
     CATEGORY, FUEL, GRAINS, MANUFACTURER, MEASURE, UNIFIED_TO_SILVER)
 from tallymark.sources import tables
@@ -59,12 +59,56 @@ def _unpivoted(m):
 _CELL = ["source_file", "dataset_type", "dimension_value", "label", "cell"]
 
 
-def _coverage(m):
+def _plan(m) -> DataFrame:
     first, last = m.years()
     single = [(y, y) for y in range(first, last + 1)]
-    plan = bronze.report_plan(
+    return bronze.report_plan(
         m.states(), {r: single for r in ("vehicle_category", "fuel", "manufacturer")})
-    return bronze.report_coverage(plan, _reports(m))
+
+
+def _coverage(m):
+    return bronze.report_coverage(_plan(m), _reports(m))
+
+
+def _expected_files(m):
+    """A file for each state and year of each report."""
+    first, last = m.years()
+    planned = m.states().count() * (last - first + 1)
+    return bronze.structure_summary(_reports(m), {g.dataset_type: planned for g in GRAINS})
+
+
+def _events(m) -> DataFrame:
+    """A log with up to three events per planned report, written in two parts and read back.
+
+    Which events there are follows from a hash of the report, as do a damaged status here and
+    there and reports that nobody planned.
+    """
+    h = row_hash("state_code", "report", "from_year")
+    tries = _plan(m).withColumn("_h", h).select(
+        "*", F.explode(F.sequence(F.lit(0), (F.col("_h") % 4).cast("int"))).alias("_i")
+    ).filter("_i > 0")
+    last = F.col("_i") == F.col("_h") % 4
+    status = (
+        F.when(~last, run_log.FAILED).when(F.col("_h") % 5 == 0, run_log.FAILED)
+        .when(F.col("_h") % 7 == 0, run_log.SKIPPED).when(F.col("_h") % 11 == 0, "n/a")
+        .otherwise(run_log.SUCCESS))
+    events = tries.select(
+        F.timestamp_seconds(1_700_000_000 + F.col("_h") % 100_000 + 60 * F.col("_i")).alias("timestamp"),
+        F.when(F.col("_h") % 13 == 0, "zz").otherwise(F.col("state_code")).alias("state_code"),
+        "report", "from_year", "to_year", status.alias("status"),
+        F.when(status == run_log.FAILED, F.concat(F.lit('try "'), F.col("_i").cast("string"), F.lit('", failed')))
+        .alias("message"))
+    path = m.fresh_path("run-log")
+    odd = F.col("from_year") % 2 == 1
+    run_log.append_events(events.filter(odd), path)
+    run_log.append_events(events.filter(~odd), path)
+    return run_log.read_events(m.spark, path)
+
+
+def _clocked(df: DataFrame) -> DataFrame:
+    """Times as whole seconds."""
+    return df.withColumns({
+        f.name: F.unix_seconds(f.name) for f in df.schema if f.dataType.typeName() == "timestamp"})
 
 
 def _period_attrs(m):
@@ -93,6 +137,10 @@ BRONZE = {
     "unify_reports": lambda m: bronze.unify(_reports(m)),
     "consolidation_failures": lambda m: bronze.failures(_reports(m)),
     "report_coverage": _coverage,
+    "run_status": lambda m: _clocked(run_log.run_status(_coverage(m), _events(m))),
+    "reports_to_fetch": lambda m: run_log.to_fetch(run_log.run_status(_coverage(m), _events(m))),
+    "unplanned_events": lambda m: _clocked(run_log.strangers(_plan(m), _events(m))),
+    "bronze_expected_files": _expected_files,
     "bronze_structure_check": lambda m: bronze.structure_check(_reports(m)),
     "bronze_structure_summary": lambda m: bronze.structure_summary(_reports(m)),
     "total_reconcile": lambda m: bronze.total_reconcile(_reports(m)),
