@@ -25,7 +25,6 @@ from tallymark.llm.pieces import PieceMemo
 
 SPREAD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
-RESULTS = ("n_tokens", "ids_sha256", "decoded_sha256", "token_ids")
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -166,7 +165,7 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, keep: list[str],
             with_ids: bool = False) -> DataFrame:
     """Columns ``keep`` of every row, the number of ids, digests and (if asked) the ids.
 
-    A kept column with the name of a result gives way to it.
+    A result whose name a kept column has is called ``bpe_`` and that name.
 
     The vocabulary is a file of fixed size and goes to the workers with the task.
     """
@@ -199,9 +198,14 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, keep: list[str],
 
     outputs = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (
         ", token_ids array<int>" if with_ids else "")
-    keep = [c for c in keep if c.lower() not in RESULTS]
+    taken = {c.lower() for c in keep}
+
+    def free(name: str) -> str:
+        return free(f"bpe_{name}") if name in taken else name
+
     kept = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
     done = docs.select(
         *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], text_bytes().alias("text_bytes")
     ).mapInArrow(run, extended(kept, outputs))
-    return done.withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})
+    results = {name: free(name) for name in done.columns[len(keep):]}
+    return done.withColumnsRenamed(results | {f"k{i}": c for i, c in enumerate(keep)})

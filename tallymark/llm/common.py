@@ -66,13 +66,31 @@ def extended(kept: DataFrame, added: str) -> StructType:
     return StructType([*kept.schema.fields, *StructType.fromDDL(added).fields])
 
 
+#: Columns of documents that operators know by name.
+KNOWN = ("doc_id", "text", "source", "lang", "n_chars")
+
+
+def out_of_the_way(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with all other columns renamed, and the names to give back.
+
+    A stage may then name columns of its own as it likes.
+    """
+    back = {f"x{i}": c for i, c in enumerate(docs.columns) if c not in KNOWN}
+    return docs.withColumnsRenamed({c: x for x, c in back.items()}), back
+
+
 def by_size(values: list[bytes], limit: int = CHUNK_BYTES):
     """Ranges (start, end) of consecutive values with about ``limit`` bytes each."""
-    start = size = 0
-    for i, value in enumerate(values):
-        size += len(value)
+    return by_length(map(len, values), limit)
+
+
+def by_length(lengths, limit: int):
+    """Ranges (start, end) of consecutive lengths that add up to about ``limit``."""
+    start = size = end = 0
+    for end, length in enumerate(lengths, 1):
+        size += length
         if size >= limit:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(values):
-        yield start, len(values)
+            yield start, end
+            start, size = end, 0
+    if start < end:
+        yield start, end

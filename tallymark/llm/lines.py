@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymark.llm.common import staged
+from tallymark.llm.common import out_of_the_way, staged
 
 BLANK = r"\x20\x09-\x0D"
 NO_SITE = "\x00"
@@ -119,14 +119,15 @@ def line_report(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 def without_boilerplate(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """The documents with their columns, boilerplate lines taken out.
 
-    Where lines went, a column ``n_chars`` tells the new length.
+    Where lines went, a column ``n_chars`` tells the new length. Other columns may have any name.
     """
+    docs, back = out_of_the_way(docs)
     done = cleaned(docs, rules)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         done = done.withColumn("n_chars", F.when(
             F.col("__removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return done.select(*docs.columns)
+    return done.select(*docs.columns).withColumnsRenamed(back)
 
 
 def oracle(rules: LineRules = LineRules()) -> str:

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import by_size, extended, ship, staged
+from tallymark.llm.common import by_size, extended, out_of_the_way, ship, staged
 from tallymark.llm.components import components
 
 U = np.uint64
@@ -331,11 +331,16 @@ def near_classes(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
-    """The documents, with all their columns, one row per class: its least id, first row."""
+    """The documents, with all their columns, one row per class: its least id, first row.
+
+    Other columns may have any name.
+    """
+    docs, back = out_of_the_way(docs)
     rows, labels = classes(docs, rules)
     sized = labels.join(rows.select("__row", "doc_id"), "__row")
     kept = sized.groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "__row")).alias("m")).select(
         F.col("m.__row").alias("__row"))
     wordless = rows.where(F.col("__key").isNull()).select("__row")
-    return rows.join(kept.unionByName(wordless), "__row", "left_semi").select(*docs.columns)
+    return rows.join(kept.unionByName(wordless), "__row", "left_semi").select(
+        *docs.columns).withColumnsRenamed(back)

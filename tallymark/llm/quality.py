@@ -22,9 +22,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallymark.llm.common import by_size, extended, ship, staged, text_bytes
+from tallymark.llm.common import by_length, extended, ship, staged
 from tallymark.llm.lines import NO_SITE, text_key
 
 # Common words of the languages.
@@ -64,6 +65,8 @@ STATS = pa.schema([
     ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
     ("class_counts", pa.list_(pa.int64())), ("word_counts", pa.list_(pa.int64()))])
 TRIM = 1 / 3  # of the voices, left out at either end of an entry's shares
+#: Bytes of text counted at a time: the arrays of a chunk are some forty times as large.
+STATS_BYTES = 1 << 20
 STEPS = 4096  # of a share, by which shares are ordered
 
 
@@ -122,7 +125,7 @@ def text_stats(texts: list[bytes]) -> pa.RecordBatch:
     n = len(texts)
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, n)
-    owner = np.repeat(np.arange(n, dtype=np.int64), lengths)
+    owner = np.repeat(np.arange(n, dtype=np.int32), lengths)
     classes = CLASS_OF[raw]
     starts = classes >= 0
     k = len(CLASSES)
@@ -158,23 +161,25 @@ def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(rows.astype(np.int64).ravel()))
 
 
-def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and the counts of each whole text."""
+def with_stats(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """Columns ``keep`` and the counts of each whole ``text``, which may be among them."""
     ship(docs.sparkSession)
+    sent = keep if text in keep else [*keep, text]
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for start, end in by_size(texts):
+            raw = batch.column(sent.index(text)).cast(pa.binary()).fill_null(b"")
+            sizes = pc.binary_length(raw).to_pylist()
+            for start, end in by_length(sizes, STATS_BYTES):
                 own = batch.slice(start, end - start)
-                stats = text_stats(texts[start:end])
+                stats = text_stats(raw.slice(start, end - start).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    own.columns[:-1] + stats.columns, names=own.schema.names[:-1] + STATS.names)
+                    own.columns[:len(keep)] + stats.columns, names=[*keep, *STATS.names])
 
-    kept = docs.select(*keep)
-    return docs.select(*keep, text_bytes().alias("text_bytes")).mapInArrow(
-        run, extended(kept, "n_words long, n_chars long, word_chars long, n_symbols long, n_dup_lines long, "
-             "n_repeat_words long, class_counts array<long>, word_counts array<long>"))
+    return docs.select(*sent).mapInArrow(
+        run, extended(docs.select(*keep), "n_words long, n_chars long, word_chars long, "
+             "n_symbols long, n_dup_lines long, n_repeat_words long, class_counts array<long>, "
+             "word_counts array<long>"))
 
 
 def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -253,10 +258,11 @@ def judged(docs: DataFrame, keep: list[str], rules: Rules = Rules()) -> DataFram
         else docs.withColumn("lang", F.lit(None).cast("string"))
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None)
     stats = staged(with_stats(named.select(
-        *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "lang", "text",
-        F.coalesce(source, F.lit(NO_SITE)).alias("source"),
+        *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "lang",
+        *([] if "text" in keep else ["text"]), F.coalesce(source, F.lit(NO_SITE)).alias("source"),
         text_key(F.coalesce("text", F.lit(""))).alias("digest")),
-        [*[f"k{i}" for i in range(len(keep))], "lang", "source", "digest"]), "stats")
+        [*[f"k{i}" for i in range(len(keep))], "lang", "source", "digest"],
+        f"k{keep.index('text')}" if "text" in keep else "text"), "stats")
     compared = _joined(stats, rules)
     failed = base_failed(rules)
     odd_class = (F.col("n_chars") >= rules.min_class_chars) & (

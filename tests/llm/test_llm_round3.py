@@ -256,3 +256,34 @@ def test_other_models_are_refused():
             counts.Counting(b"")
     finally:
         counts.SentencePieceProcessor = real
+
+
+# Stages ----------------------------------------------------------------------------------------
+
+def test_stages_give_back_columns_of_any_name(spark, tmp_path):
+    """Names that the stages use themselves; values must come back as they were."""
+    import corpus_pipeline
+
+    names = ["__key", "__row", "__bands", "__found", "__lines", "__removed", "__tried", "k0", "x1",
+             "n_tokens", "ids_sha256", "bpe_n_tokens", "text_bytes", "digest"]
+    body = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{body} {i} " + " ".join(f"own{i}x{j}" for j in range(60)), "en", "s", 9)
+            for i in range(12)]
+    frame = spark.createDataFrame(rows, DOCS)
+    frame = frame.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    spark.createDataFrame([(1, "no such text at all in here")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    kept = None
+    for name, stage in corpus_pipeline.STAGES:
+        frame = common.staged(stage(spark, frame, str(tmp_path)), name)
+        kept = frame.collect()
+        assert kept
+        for r in kept:
+            assert [r[n] for n in names] == [f"{n}{r['doc_id']}" for n in names]
+    assert {"bpe_bpe_n_tokens", "bpe_ids_sha256", "decoded_sha256", "token_ids"} <= set(frame.columns)
+
+
+def test_ranges_of_lengths():
+    assert list(common.by_length([], 5)) == []
+    assert list(common.by_length([9, 1, 1, 3, 1], 5)) == [(0, 1), (1, 4), (4, 5)]
+    assert list(common.by_length([0, 0], 5)) == [(0, 2)]
