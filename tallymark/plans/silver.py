@@ -156,14 +156,15 @@ def load_gate(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
     return loadable
 
 
-def silver_sorted(df: DataFrame) -> DataFrame:
-    """Ordered by type, state, value, year, month.
+def silver_sorted(df: DataFrame, partition=()) -> DataFrame:
+    """Ordered by type, state, value, year, month; columns of a ``partition`` come first.
 
     The range split is over the whole key, so a type or state with most of the rows is
     cut into many tasks, and files written from it have narrow value ranges. Spark samples
     the input for the split, so it should be a stored table and not a long plan.
     """
-    order = ["dataset_type", "state", "dimension_value", "year", "month"]
+    columns = ["dataset_type", "state", "dimension_value", "year", "month"]
+    order = [*partition, *[c for c in columns if c not in partition]]
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 

@@ -383,6 +383,7 @@ FROM (SELECT dataset_type, state_code, dimension_value, period,
 oracle("reject_rows", ["tagged"], "SELECT * FROM tagged WHERE error_reason <> ''")
 oracle("drop_exact_duplicates", ["accepted"], "SELECT * FROM accepted")
 oracle("silver_sort_write", ["accepted"], "SELECT * FROM accepted")
+oracle("silver_refresh", ["accepted"], "SELECT * FROM accepted")
 _KEY = ", ".join(BUSINESS_KEY)
 relation("deduped", ["accepted"], f"""
   SELECT * FROM accepted

@@ -32,15 +32,28 @@ def relative_path(path: Column, root: str) -> Column:
 
 
 def scan_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every CSV file below ``root`` with its size, without reading contents."""
+    """Every CSV file below ``root`` with a byte, its size and time, without reading contents."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv").load(root)
         .select(relative_path(F.col("path"), root).alias("source_file"),
-                F.col("length").alias("bytes"))
+                F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
     )
 
 
+def changed_files(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Files that two listings do not have alike: ADDED, REMOVED or CHANGED.
+
+    ``before`` is a written listing of :func:`scan_files`.
+    """
+    old = before.select("source_file", F.struct("bytes", "modified").alias("_old"))
+    new = after.select("source_file", F.struct("bytes", "modified").alias("_new"))
+    what = F.when(F.col("_old").isNull(), "ADDED").when(F.col("_new").isNull(), "REMOVED").otherwise(
+        "CHANGED")
+    return old.join(new, "source_file", "full").filter(
+        ~F.col("_old").eqNullSafe(F.col("_new"))).select("source_file", what.alias("change"))
+
+
 def split_physical(raw: DataFrame) -> DataFrame:
     """Physical lines (source_file, block, row, value) as report lines.
 

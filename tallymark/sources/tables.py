@@ -6,14 +6,63 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallymark.operators.totals import join_on
 from tallymark.plans.gold import Gold
 from tallymark.plans.silver import silver_sorted
 from tallymark.schemas import DQ_LOG_SCHEMA, SILVER_SCHEMA
+from tallymark.sources.workspace import written
+
+
+#: A report covers some years of one type, so a changed report touches few of these.
+SILVER_PARTITION = ["dataset_type", "year"]
+
+
+def _silver_writer(df: DataFrame):
+    return silver_sorted(df, SILVER_PARTITION).write.mode("overwrite").partitionBy(*SILVER_PARTITION)
 
 
 def write_silver(df: DataFrame, path: str) -> None:
-    """Full refresh of the Silver table, one partition per dataset type, rows sorted."""
-    silver_sorted(df).write.mode("overwrite").partitionBy("dataset_type").parquet(path)
+    """Full refresh of the Silver table, one partition per dataset type and year, rows sorted."""
+    _silver_writer(df).parquet(path)
+
+
+def touched_partitions(old: DataFrame, new: DataFrame, changed: DataFrame) -> DataFrame:
+    """Type and year of every partition with a row of a ``changed`` source, before or after.
+
+    A type or year that is NULL is a partition of its own.
+    """
+    both = old.select("source_file", *SILVER_PARTITION).unionByName(
+        new.select("source_file", *SILVER_PARTITION))
+    return join_on(both, changed.select("source_file").distinct(), ["source_file"], "left_semi"
+                   ).select(*SILVER_PARTITION).distinct()
+
+
+def refresh_silver(new: DataFrame, path: str, changed: DataFrame) -> DataFrame:
+    """Bring the Silver table at ``path`` up to ``new`` where ``changed`` sources have rows.
+
+    ``new`` is the whole table as it is to be and must not read the table at ``path``. Only the
+    partitions that a changed source has or had rows in are read from it and replaced; all other
+    files stay as they are. Partitions left without a row are removed. Returns the touched
+    partitions.
+    """
+    spark = new.sparkSession
+    touched = written(touched_partitions(read_silver(spark, path), new, changed), "touched")
+    rows = join_on(new, touched, SILVER_PARTITION, "left_semi")
+    _silver_writer(rows).option("partitionOverwriteMode", "dynamic").parquet(path)
+    left = rows.select(*SILVER_PARTITION).distinct()
+    for gone in join_on(touched, left, SILVER_PARTITION, "left_anti").toLocalIterator():
+        remove_partition(spark, path, gone.asDict())
+    return touched
+
+
+def remove_partition(spark: SparkSession, path: str, values: dict) -> None:
+    """Take one partition's folder away, on whatever file system the table lies."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folder = "/".join([path, *[
+        names.getPartitionPathString(name, None if value is None else str(value))
+        for name, value in values.items()]])
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
