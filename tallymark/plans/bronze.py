@@ -46,37 +46,65 @@ def cut(lines: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> DataFrame:
 
 @dataclass(frozen=True)
 class Reports:
-    """Lines of supported reports and one header row per report."""
+    """Lines of supported reports and one head per report."""
 
     lines: DataFrame
-    headers: DataFrame
+    heads: DataFrame
+
+    @property
+    def headers(self) -> DataFrame:
+        """The heads of reports that have a header."""
+        return self.heads.filter("header IS NOT NULL")
 
     def files(self) -> DataFrame:
-        return self.lines.select("source_file", "dataset_type").distinct()
+        return self.heads.select("source_file", "dataset_type")
+
 
+def _supported(cut_lines: DataFrame) -> DataFrame:
+    return cut_lines.filter("is_processed").select(
+        "source_file", "dataset_type", "line_order", "cells")
 
-def parse(cut_lines: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> Reports:
-    """Keep the supported reports of a Bronze table and find the header line of each.
 
-    The header is the first line whose first cell is the one its type must have. Only
-    lines that qualify are aggregated, which leaves one row per report and task even of
-    a huge report.
+def find_heads(cut_lines: DataFrame, naming: ReportNaming = DEFAULT_NAMING) -> DataFrame:
+    """What is known of each supported report before its rows are looked at.
+
+    Header cells, their months and their place, and the title with its place; NULL where a
+    report has none. The header is the first line whose first cell is the one its type must
+    have, the title the first line that is not blank, if it stands before the header. One
+    aggregate finds both; it has a map-side part, so no line is shuffled. Store the result beside
+    the lines: every check of the reports begins with it.
     """
-    supported = cut_lines.filter("is_processed").select(
-        "source_file", "dataset_type", "line_order", "cells")
+    lines = _supported(cut_lines)
     is_header = header_key(F.element_at("cells", 1)) == F.lower(
         expected_header("dataset_type", naming))
-    headers = (
-        supported.filter(is_header)
-        .groupBy("source_file", "dataset_type")
-        .agg(F.min_by("cells", "line_order").alias("header"), F.min("line_order").alias("header_order"))
-        .withColumn("months", month_columns("header"))
-    )
-    return Reports(supported, headers)
+    found = lines.groupBy("source_file", "dataset_type").agg(
+        F.min(F.when(is_header, F.col("line_order"))).alias("header_order"),
+        F.min_by(F.when(is_header, F.col("cells")), F.when(is_header, F.col("line_order")))
+        .alias("header"),
+        F.min(F.when(_has_text(), F.struct(
+            "line_order", F.array_join("cells", ",").alias("title")))).alias("_first"))
+    titled = F.col("_first.line_order") < F.col("header_order")
+    return found.select(
+        "source_file", "dataset_type", "header", "header_order",
+        F.when(F.col("header").isNotNull(), month_columns("header")).alias("months"),
+        F.when(titled, F.col("_first.title")).alias("title"),
+        F.when(titled, F.col("_first.line_order")).alias("title_order"))
+
+
+def parse(
+    cut_lines: DataFrame, naming: ReportNaming = DEFAULT_NAMING, heads: DataFrame | None = None,
+) -> Reports:
+    """The supported reports of a Bronze table, with their stored heads or newly found ones."""
+    return Reports(
+        _supported(cut_lines), find_heads(cut_lines, naming) if heads is None else heads)
+
+
+def _has_text() -> Column:
+    return (F.size("cells") > 1) | (F.element_at("cells", 1) != "")
 
 
 def not_blank(reports: Reports) -> DataFrame:
-    return reports.lines.filter((F.size("cells") > 1) | (F.element_at("cells", 1) != ""))
+    return reports.lines.filter(_has_text())
 
 
 def header_lines(reports: Reports) -> DataFrame:
@@ -269,26 +297,15 @@ def _claimed_years(text, pattern: str):
 def title_lineage(reports: Reports) -> DataFrame:
     """Years claimed by title and file name against the years of the month columns.
 
-    The title is the first line before the header that is not blank. That is the file's first
-    line that is not blank, found by an aggregate with a map-side part: no line is shuffled.
+    All of it stands in the heads of the reports; no line is read.
     """
-    first = (
-        not_blank(reports).groupBy("source_file")
-        .agg(F.min(F.struct("line_order", F.array_join("cells", ",").alias("title"))).alias("t"))
-        .select("source_file", "t.line_order", "t.title")
-    )
-    titles = (
-        first.join(reports.headers.select("source_file", "header_order"), "source_file")
-        .filter(F.col("line_order") < F.col("header_order")).select("source_file", "title")
-    )
     found = F.transform("months", lambda m: m["year"])
-    heads = reports.headers.select(
-        "source_file",
-        F.array_min(found).alias("found_from"), F.array_max(found).alias("found_to"))
     title_from, title_to = _claimed_years(F.col("title"), r"\((\d{4})(?:-(\d{4}))?\)")
     name_from, name_to = _claimed_years(F.col("source_file"), r"_(\d{4})_(\d{4})\.csv$")
-    files = reports.files().select("source_file")
-    claimed = files.join(titles, "source_file", "left").join(heads, "source_file", "left").select(
+    heads = reports.heads.select(
+        "source_file", "title",
+        F.array_min(found).alias("found_from"), F.array_max(found).alias("found_to"))
+    claimed = heads.select(
         "source_file", "title",
         title_from.alias("title_from"), title_to.alias("title_to"),
         name_from.alias("name_from"), name_to.alias("name_to"), "found_from", "found_to")

@@ -58,7 +58,7 @@ def run_medallion(
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    reports = bronze.parse(lines, naming)
+    reports = bronze.parse(lines, naming, kept(bronze.find_heads(lines, naming), "heads"))
     failures = kept(bronze.failures(reports, naming), "failures")
     structure = kept(bronze.structure_check(reports), "structure")
     unified = kept(bronze.unify(reports), "unified")

@@ -34,7 +34,7 @@ def comparable(df: DataFrame) -> DataFrame:
 # --- Bronze ---------------------------------------------------------------
 
 def _reports(m: Market) -> bronze.Reports:
-    return bronze.parse(m.report_lines())
+    return bronze.parse(m.report_lines(), heads=m.report_heads())
 
 
 def _files(m: Market) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallymark.functions.reports import month_name
+from tallymark.plans.bronze import find_heads
 from tallymark.plans.gold import Gold, build_gold, fact
 from tallymark.plans.silver import silver_columns
 from tallymark.schemas import CATEGORY, FUEL, GRAINS, MEASURE, SILVER_SCHEMA, Grain
@@ -253,6 +254,13 @@ class Market:
         self.store.ensure(path, lambda: report_lines(self.silver()))
         return self.spark.read.schema(LINE_SCHEMA).parquet(path)
 
+    def report_heads(self) -> DataFrame:
+        """The heads of the reports, stored beside their lines."""
+        path = table_path(self.spark, f"bronze-heads-{self.version()}")
+        heads = find_heads(self.report_lines())
+        self.store.ensure(path, lambda: heads)
+        return self.spark.read.schema(heads.schema).parquet(path)
+
     def scanned_lines(self) -> DataFrame:
         """The Bronze table from report files: the market written as text and scanned."""
         root = table_path(self.spark, f"reports-{self.version()}")

@@ -176,3 +176,19 @@ def test_long_to_text_to_long(spark, market):
     }
     assert len(want) > 1000
     assert {k: got[k] for k in want} == want
+
+
+def test_stored_heads_spare_the_lines(spark, root, tmp_path, rows):
+    lines = scan_lines(spark, root, str(tmp_path / "lines"))
+    found = bronze.find_heads(lines)
+    found.write.parquet(str(tmp_path / "heads"))
+    heads = spark.read.schema(found.schema).parquet(str(tmp_path / "heads"))
+    stored, fresh = bronze.parse(lines, heads=heads), bronze.parse(lines)
+    for check in (bronze.title_lineage, bronze.header_lines, bronze.failures, bronze.structure_check):
+        assert rows(check(stored)) == rows(check(fresh))
+    read = bronze.title_lineage(stored).inputFiles() + bronze.header_lines(stored).inputFiles()
+    assert read and all("/heads/" in f for f in read)
+    # One row for every supported report, those without a header too.
+    assert {r.source_file for r in heads.filter("header IS NULL").collect()} == {
+        "category/market_vehicle_category_ap_monthwise_2016_2018.csv"}
+    assert stored.files().count() == lines.filter("is_processed").select("source_file").distinct().count()
