@@ -62,15 +62,22 @@ def multi_source_keys(df: DataFrame, key=BUSINESS_KEY, source: str = "source_fil
         F.count(source).alias("unique_source_files")).filter("unique_source_files > 1")
 
 
-def _numbered_lists(
-    rows: DataFrame, key, value: str, alias: str, chunk: int,
-) -> DataFrame:
-    """The distinct values of each key as sorted texts of ``chunk`` values, numbered from 1."""
+def _numbered_lists(rows: DataFrame, key, value: str, alias: str, chunk: int) -> DataFrame:
+    """The distinct values of each key as sorted texts of ``chunk`` values, numbered from 1.
+
+    A key with no more than one text's values is listed by itself; the values of the others are
+    put in order over all tasks first.
+    """
     distinct = rows.filter(F.col(value).isNotNull()).select(*key, value).distinct()
-    placed = positions(distinct, key, [F.asc(value)], "_at")
+    long = distinct.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > chunk).drop("_n")
+    numbered = distinct.withColumn("chunk", F.lit(1).cast("bigint"))
+    if not long.isEmpty():
+        placed = positions(
+            join_on(distinct, long, key, "left_semi"), key, [F.asc(value)], "_at")
+        numbered = join_on(numbered, long, key, "left_anti").unionByName(placed.select(
+            *key, value, (F.floor((F.col("_at") - 1) / chunk) + 1).cast("bigint").alias("chunk")))
     return (
-        placed.withColumn("chunk", F.floor((F.col("_at") - 1) / chunk).cast("bigint") + 1)
-        .groupBy(*key, "chunk")
+        numbered.groupBy(*key, "chunk")
         .agg(F.sort_array(F.collect_list(value)).alias("_list"))
         .select(*key, "chunk", F.array_join(
             F.transform("_list", lambda v: v.cast("string")), " | ").alias(alias)))
@@ -83,18 +90,18 @@ def overlap_sources(
     """Repeated keys with the distinct sources and distinct measures of their copies.
 
     A list has one row per ``chunk`` entries: ordinary keys have one row, and a key that very
-    many sources share has as many as it needs. Values are put in order over the whole table
-    and cut by their position, so that no task and no row holds all values of a key.
+    many sources share has as many as it needs. The values of such a key are put in order over
+    all tasks and cut by their position, so that no task and no row holds them all.
     """
-    folded = written(
-        df.groupBy(*key, source, measure).agg(F.count("*").alias("_copies")), "overlap")
-    sizes = folded.groupBy(*key, source).agg(F.sum("_copies").alias("_n")).groupBy(*key).agg(
+    folded = df.groupBy(*key, source, measure).agg(F.count("*").alias("_copies"))
+    by_source = folded.groupBy(*key, source).agg(F.sum("_copies").alias("_n"))
+    sizes = by_source.groupBy(*key).agg(
         F.sum("_n").alias("_rows"),
         F.coalesce(F.sum(F.when(F.col(source).isNotNull(), F.col("_n"))), F.lit(0))
         .alias("duplicate_row_count"),
         F.count(source).alias("unique_source_files"))
     repeated = written(sizes.filter("_rows > 1").drop("_rows"), "overlap-keys")
-    rows = join_on(folded, repeated.select(*key), key, "left_semi")
+    rows = written(join_on(folded, repeated.select(*key), key, "left_semi"), "overlap")
     lists = [
         _numbered_lists(rows, key, source, "source_files", chunk),
         _numbered_lists(rows, key, measure, "vehicle_counts", chunk)]

@@ -159,4 +159,4 @@ def report_lines(silver: DataFrame) -> DataFrame:
         "source_file", "state_code", "block", F.lit(0).alias("row"), "value")
     lines = data.unionByName(framed)
     named = lines.withColumn("source_file", F.explode(_names("source_file"))).drop("state_code")
-    return cut(records(split_physical(named), written))
+    return cut(records(written(split_physical(named), "physical-lines"), written))
