@@ -2,13 +2,18 @@
 
 Every line of at least ``min_words`` words is known by a 128-bit hash. A HyperLogLog sketch
 of sites per line tells its spread; a line whose estimate lies near the threshold gets an
-exact count of its sites. Lines on ``min_sites`` sites or more are boilerplate and are
-removed, except from texts that are boilerplate almost throughout: those are copies of a
-whole document, which the near-duplicate stage settles.
+exact count of its sites. Lines on ``min_sites`` sites or more are candidates.
+
+Copies of one document on many sites make each of its lines a candidate, though it stands in
+one context only. So the sites of a candidate are counted once more, over the rows in which
+candidates are at most ``max_common`` percent of the text, that is, beside text of their own. Candidates
+on ``min_sites`` such sites are boilerplate and are removed from every text, also from those
+that hold little else. A line that only copies share stays for the near-duplicate stage.
 
 Defined results: null or empty text has one empty line and loses nothing; documents without
 a source share one unnamed site; repeated rows each get their result; equal texts lose the
-same lines.
+same lines; a text exactly at ``max_common`` counts; an empty table gives an empty table. A
+text is held whole with its lines in one task.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ class LineRules:
     min_words: int = 3
     sketch_bits: int = 10
     near: float = 0.3  # estimates within this share of the threshold are counted exactly
-    max_share: float = 0.8  # of a text's characters; above, the text is left alone
+    max_common: int = 60  # percent of candidates in a text that tells of sites, by characters
 
 
 def eligible(line: Column, min_words: int) -> Column:
@@ -46,14 +51,20 @@ def text_key(text: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, rules: LineRules) -> DataFrame:
-    """(text key, line hash, site) once per text row and distinct line."""
+    """(row, text key, characters of the text, site, line hash, characters) per line."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),  # drawn once, as the lines are stored
         text_key(text).alias("key"),
+        F.length(text).alias("size"),
         F.coalesce(F.col("source").cast("string"), F.lit(NO_SITE)).alias("site"),
-        F.explode(F.array_distinct(F.split(text, "\n"))).alias("line"),
+        text.alias("text"))
+    # A select of its own: beside a generator, columns are worked out for every line.
+    return rows.select(
+        "row", "key", "size", "site", F.explode(F.split("text", "\n")).alias("line"),
     ).where(eligible(F.col("line"), rules.min_words)).select(
-        "key", "site", line_key(F.col("line")).alias("h")).select("key", "site", "h.h1", "h.h2")
+        "row", "key", "size", "site", line_key(F.col("line")).alias("h"),
+        F.length("line").alias("chars")).select("row", "key", "size", "site", "h.h1", "h.h2", "chars")
 
 
 def spread(lines: DataFrame, rules: LineRules) -> DataFrame:
@@ -75,15 +86,24 @@ def spread(lines: DataFrame, rules: LineRules) -> DataFrame:
             .unionByName(exact.select("h1", "h2")))
 
 
+def beside_own_text(places: DataFrame, rules: LineRules) -> DataFrame:
+    """Of the places of candidates, those in rows that have enough text of their own."""
+    rows = places.groupBy("row").agg(
+        F.sum("chars").alias("common"), F.first("size").alias("size"))
+    own = rows.where(100 * F.col("common") <= rules.max_common * F.col("size").cast("long")).select("row")
+    return places.join(own, "row", "left_semi")
+
+
 def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """All rows and columns with boilerplate lines taken out of ``text``.
 
     Adds ``__lines`` and ``__removed``, the number of lines and of removed ones.
     """
     lines = staged(lines_of(docs, rules), "lines")
-    common = spread(lines, rules)
+    places = staged(lines.join(spread(lines, rules), ["h1", "h2"]), "candidates")
+    common = spread(beside_own_text(places, rules), rules)
     # At most one entry per line of the text.
-    found = (lines.join(common, ["h1", "h2"]).groupBy("key")
+    found = (places.join(common, ["h1", "h2"]).groupBy("key")
              .agg(F.collect_set(F.struct("h1", "h2")).alias("__found")))
     text = F.coalesce(F.col("text"), F.lit(""))
     parts = F.split(text, "\n")
@@ -93,15 +113,12 @@ def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
                  & eligible(line, rules.min_words))
 
     kept = F.filter(parts, stays)
-    kept_text = F.array_join(kept, "\n")
-    share = 1 - F.length(kept_text) / F.length(text)
     tried = F.when(F.col("__found").isNotNull(), F.struct(
-        kept_text.alias("text"), (F.size(parts) - F.size(kept)).alias("n"),
-        share.alias("share")))
+        F.array_join(kept, "\n").alias("text"), (F.size(parts) - F.size(kept)).alias("n")))
     keyed = docs.withColumn("__key", text_key(text))
     joined = keyed.join(found.withColumnRenamed("key", "__key"), "__key", "left").withColumn(
         "__tried", tried)
-    taken = F.col("__tried").isNotNull() & (F.col("__tried.share") <= rules.max_share)
+    taken = F.col("__tried").isNotNull()
     return joined.select(
         *[F.when(taken, F.col("__tried.text")).otherwise(F.col("text")).alias(c)
           if c == "text" else F.col(c) for c in docs.columns],
@@ -140,18 +157,19 @@ WITH d AS (
 l AS (
   SELECT rid, site, unnest(string_split(text, chr(10))) AS line,
          unnest(range(len(string_split(text, chr(10))))) AS pos FROM d),
-common AS (
+often AS (
   SELECT line FROM l WHERE {enough} GROUP BY line
   HAVING count(DISTINCT site) >= {rules.min_sites}),
-marked AS (
-  SELECT rid, pos, l.line, common.line IS NOT NULL AS gone FROM l LEFT JOIN common USING (line)),
+crowded AS (
+  SELECT rid FROM l JOIN often USING (line) JOIN d USING (rid) GROUP BY rid
+  HAVING 100 * sum(length(line)) > {rules.max_common} * any_value(length(text))),
+common AS (
+  SELECT line FROM often JOIN l USING (line) ANTI JOIN crowded USING (rid) GROUP BY line
+  HAVING count(DISTINCT site) >= {rules.min_sites}),
 per AS (
-  SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_gone,
-         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept
-  FROM marked GROUP BY rid)
-SELECT doc_id, n_lines,
-       CASE WHEN ok THEN n_gone ELSE 0 END AS n_removed,
-       sha256(CASE WHEN ok THEN kept ELSE text END) AS kept_sha256
-FROM (SELECT *, n_gone > 0 AND 1 - length(kept) / length(text) <= {rules.max_share} AS ok
-      FROM per JOIN d USING (rid))
+  SELECT rid, count(*) AS n_lines, count(common.line) AS n_removed,
+         coalesce(string_agg(l.line, chr(10) ORDER BY pos) FILTER (common.line IS NULL), '')
+         AS kept
+  FROM l LEFT JOIN common USING (line) GROUP BY rid)
+SELECT doc_id, n_lines, n_removed, sha256(kept) AS kept_sha256 FROM per JOIN d USING (rid)
 """

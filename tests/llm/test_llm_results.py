@@ -38,7 +38,7 @@ def result(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.llm_oracles()))
 def test_sql_counterpart(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     frame = queries.llm_queries()[name](spark, SF_DIR)
     names = sorted(frame.columns)
@@ -60,6 +60,38 @@ def test_lines_near_threshold_are_counted_exactly(spark):
     assert out[100]["text"].startswith("a line on nine sites") and out[100]["n_chars"] == 0
 
 
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, "
+                                 "n_chars long")
+
+
+def test_a_text_of_boilerplate_alone_loses_it(spark):
+    menu = "home about and contact\nall rights are reserved"
+    rows = [(i, f"{menu}\nthis page tells of matter number {i} and goes on about it at length",
+             f"s{i}") for i in range(12)]
+    rows += [(50, menu + "\nx", "s1"), (51, menu, "s2")]
+    out = {r["doc_id"]: r["text"] for r in lines.without_boilerplate(documents(spark, rows)).collect()}
+    assert out[0].startswith("this page") and out[50] == "x" and out[51] == ""
+
+
+def test_lines_that_copies_share_stay(spark):
+    body = [f"line {k} of a text that was copied to many sites and edited in one word"
+            for k in range(4)]
+
+    def copy(i):
+        own = list(body)
+        own[i % 4] = own[i % 4].replace("edited", f"edited{i}")
+        return "\n".join(own)
+
+    rows = [(i, copy(i), f"s{i % 20}") for i in range(2000)]
+    rows += [(5000 + i, "\n".join(body), f"s{i}") for i in range(20)]
+    docs = documents(spark, rows)
+    kept = lines.without_boilerplate(docs)
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {i: t for i, t, _ in rows}
+    assert kept.select("n_chars").distinct().count() > 1
+
+
 def test_language_model(spark, texts):
     got = result(spark, "op2_lm_scoring")
     words = {i: t.encode().lower().split() + [None] for i, t in texts.items()}
