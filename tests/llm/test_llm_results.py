@@ -530,6 +530,39 @@ def test_license_lines(spark):
     assert got[4]["labels"] == "" and got[5]["n_base"] == 0
 
 
+def test_license_texts_over_broken_lines(spark):
+    import random
+    import textwrap
+
+    def wrapped(name, width=64):
+        return textwrap.fill(" ".join(licenses.TEMPLATES[name].split()), width)
+
+    mixed = [w for t in licenses.TEMPLATES.values() for w in licenses.words_of(t)]
+    random.Random(3).shuffle(mixed)
+    other = "some words of another matter altogether " * 40
+    rows = [(i, f"{other}\n\n{wrapped(name)}\n\n{other}")
+            for i, name in enumerate(licenses.TEMPLATES)]
+    rows += [(100, " ".join(mixed[:600])), (101, "It is released under the Apache license."),
+             (102, wrapped("mit-full").lower().replace("software", "program")),
+             (103, ("x " * 50000) + wrapped("bsd-2-full"))]
+    rows += [(104 + k, "word " * k + wrapped("isc-full") + " word" * 200) for k in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(frame).collect()}
+    for i, name in enumerate(licenses.TEMPLATES):
+        assert name in got[i]["labels"].split(",") and got[i]["score"] == 1.0
+    assert got[100]["labels"] == "" and got[101]["labels"] == "apache"
+    assert "mit-full" in got[102]["labels"] and got[102]["score"] < 1
+    assert "bsd-2-full" in got[103]["labels"]
+    assert all("isc-full" in got[104 + k]["labels"] for k in range(60))
+    con = duckdb.connect()
+    documents = frame.toPandas()  # noqa: F841  (read by the SQL)
+    con.register("documents", documents)
+    rel = con.sql(licenses.oracle())
+    names = [d[0] for d in rel.description]
+    want = {r[names.index("doc_id")]: dict(zip(names, r)) for r in rel.fetchall()}
+    assert {i: r.asDict() for i, r in got.items()} == want
+
+
 def test_piece_memo_joins_runs():
     memo = pieces.PieceMemo(lambda t: f"<{t}>".encode())
     assert memo.text("a b  c\n d") == b"<a>< b >< c\n>< d>"
