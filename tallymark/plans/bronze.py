@@ -237,6 +237,41 @@ def structure_summary(reports: Reports, expected: dict[str, int] | None = None)
         F.col("expected_files").isNotNull(), "FAIL"))
 
 
+#: Month columns that one aggregate row sums side by side.
+SLICE = 32
+
+
+def column_sums(rows: DataFrame) -> DataFrame:
+    """(source_file, item, month_sum, stated_total) per month column: values and Total rows apart.
+
+    Arrays of counts are summed element by element, so a line is one row per ``SLICE`` months and
+    not one per cell; sums merge on the map side. Only the sums of a report are laid out by label;
+    columns with the same label count together.
+    """
+    counts = F.transform("months", lambda m: count_or_zero(F.get("cells", m["position"])))
+    lines = rows.filter(F.size("months") > 0).select(
+        "source_file", "months", counts.alias("counts"),
+        is_summary_row(F.element_at("cells", 1)).alias("is_total"))
+    parts = lines.select(
+        "source_file", "months", "is_total", "counts",
+        F.explode(F.sequence(F.lit(0), F.size("counts") - 1, F.lit(SLICE))).alias("start"))
+
+    def sums(condition):
+        return F.array(*[
+            F.sum(F.when(condition, F.get("counts", F.col("start") + i))) for i in range(SLICE)])
+
+    summed = parts.groupBy("source_file", "start").agg(
+        F.any_value("months").alias("months"),
+        sums(~F.col("is_total")).alias("month_sum"), sums(F.col("is_total")).alias("stated_total"))
+    labels = F.transform(
+        F.slice("months", F.col("start") + 1, F.lit(SLICE)), lambda m: m["label"])
+    laid_out = summed.select("source_file", F.posexplode(labels).alias("i", "item"), "month_sum",
+                             "stated_total")
+    return laid_out.groupBy("source_file", "item").agg(
+        F.coalesce(F.sum(F.get("month_sum", "i")), F.lit(0)).alias("month_sum"),
+        F.sum(F.get("stated_total", "i")).alias("stated_total"))
+
+
 def total_reconcile(reports: Reports) -> DataFrame:
     """Months against the stated Total, by row (ROW) and by month column (COLUMN).
 
@@ -251,15 +286,8 @@ def total_reconcile(reports: Reports) -> DataFrame:
         "source_file", F.lit("ROW").alias("direction"), F.col("value").alias("item"),
         month_sum.alias("month_sum"),
         count_of(F.get("cells", (total_at - 1).cast("int"))).alias("stated_total"))
-    cells = unpivot_months(rows).withColumn("n", count_or_zero("cell"))
-    is_total = is_summary_row(F.col("dimension_value"))
-    by_column = (
-        cells.groupBy("source_file", F.lit("COLUMN").alias("direction"), F.col("label").alias("item"))
-        .agg(
-            F.coalesce(F.sum(F.when(~is_total, F.col("n"))), F.lit(0)).alias("month_sum"),
-            F.sum(F.when(is_total, F.col("n"))).alias("stated_total"))
-        .filter("stated_total IS NOT NULL")
-    )
+    by_column = column_sums(rows).filter("stated_total IS NOT NULL").select(
+        "source_file", F.lit("COLUMN").alias("direction"), "item", "month_sum", "stated_total")
     both = by_row.unionByName(by_column)
     return both.withColumn(
         "status",
