@@ -96,24 +96,6 @@ def test_totals(reports):
     assert ("manufacturer", "COLUMN", "2016-Jan") not in got
 
 
-@pytest.mark.parametrize("months", [1, 31, 32, 33, 70])
-def test_columns_are_summed_side_by_side(spark, months):
-    named = [(f"m{k % (months - 1) if months > 40 else k}", k + 1) for k in range(months)]
-    rows = [("a", [w, *[str(k * f) for k in range(months)][: months - short]], named)
-            for w, f, short in (("x", 1, 0), ("y", 2, 1), ("Total", 3, 0))]
-    rows += [("b", ["x", "1"], named[:1]), ("c", ["x"], [])]
-    frame = spark.createDataFrame(
-        rows, "source_file string, cells array<string>, "
-              "months array<struct<label: string, position: int>>")
-    got = {(r.source_file, r.item): (r.month_sum, r.stated_total)
-           for r in bronze.column_sums(frame).collect()}
-    want = {}
-    for k, (label, _) in enumerate(named):
-        own, stated = want.get(("a", label), (0, 0))
-        want["a", label] = (own + k + (2 * k if k < months - 1 else 0), stated + 3 * k)
-    assert got == {**want, ("b", "m0"): (1, None)}
-
-
 def test_title_against_content(reports):
     got = {r.source_file.split("/")[1].split("_")[-4]: (r.title_from, r.title_to, r.name_from, r.name_to,
                                                        r.found_from, r.found_to, r.status)
