@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallymark.functions.reports import BOM, DEFAULT_NAMING, ReportNaming
 from tallymark.plans.bronze import cut
 from tallymark.sources.records import records
+from tallymark.sources.trees import list_tree, write_tree
 from tallymark.sources.workspace import written
 
 LINE_SCHEMA = (
@@ -32,13 +33,8 @@ def relative_path(path: Column, root: str) -> Column:
 
 
 def scan_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every CSV file below ``root`` with a byte, its size and time, without reading contents."""
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv").load(root)
-        .select(relative_path(F.col("path"), root).alias("source_file"),
-                F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
-    )
+    """Every CSV file below ``root``, its size and time, without reading contents."""
+    return list_tree(spark, root, "*.csv")
 
 
 def changed_files(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -75,18 +71,8 @@ def _physical(files: DataFrame, name: Column) -> DataFrame:
 
 
 def write_reports(lines: DataFrame, root: str) -> None:
-    """Report lines as text, the reports of a folder each in a partition of its name."""
-    ordered = lines.repartition("source_file").sortWithinPartitions("source_file", "line_order")
-    ordered.select("source_file", "line").write.partitionBy("source_file").text(root)
-
-
-def scan_partitions(
-    spark: SparkSession, root: str, table: str, naming: ReportNaming = DEFAULT_NAMING,
-) -> DataFrame:
-    """All lines of reports that :func:`write_reports` wrote, kept as the Bronze table."""
-    raw = split_physical(_physical(spark.read.text(root), F.col("source_file")))
-    cut(records(raw, written), naming).write.mode("overwrite").parquet(table)
-    return spark.read.schema(LINE_SCHEMA).parquet(table)
+    """Report lines as CSV files below ``root``; a NULL line is that of an empty file."""
+    write_tree(lines, root, ["line_order"])
 
 
 def scan_lines(
@@ -102,13 +88,9 @@ def scan_lines(
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
     name = relative_path(F.col("_metadata.file_path"), root)
     lines = records(split_physical(_physical(files, name)), written)
-    cut(lines, naming).write.mode("overwrite").parquet(table)
-    read = spark.read.schema(LINE_SCHEMA).parquet(table)
     # A file without a byte gives no line; it gets a blank one, so that checks list it.
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select(
-        relative_path(F.col("path"), root).alias("source_file"))
-    empty = listed.join(read.select("source_file").distinct(), "source_file", "left_anti").select(
+    empty = scan_files(spark, root).filter("bytes = 0").select(
         "source_file", line_order(F.lit(0), F.lit(0), F.lit(0)).alias("line_order"),
         F.lit("").alias("line"))
-    cut(empty, naming).write.mode("append").parquet(table)
+    cut(lines.unionByName(empty), naming).write.mode("overwrite").parquet(table)
     return spark.read.schema(LINE_SCHEMA).parquet(table)
