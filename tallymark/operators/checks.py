@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymark.operators.totals import join_on
 from tallymark.schemas import BUSINESS_KEY, EXPECTED_DATASET_TYPES, MEASURE, VALID_YEARS
 
 
@@ -53,8 +54,21 @@ def to_rows(one_row: DataFrame, name: str = "metric", value: str = "value") -> D
     return wide.unpivot([], wide.columns, name, value)
 
 
-def duplicate_counts(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
-    """Surplus fully equal rows and surplus rows per key, from one chain of counts."""
+def duplicate_counts(
+    df: DataFrame, key=BUSINESS_KEY, state: DataFrame | None = None,
+) -> DataFrame:
+    """Surplus fully equal rows and surplus rows per key, from one chain of counts.
+
+    With a written ``state`` of the keys (``keys.key_state``) only rows of repeated keys are
+    compared, as no others can be equal.
+    """
+    if state is not None:
+        repeated = join_on(
+            df, state.filter("row_count > 1").select(*key), key, "left_semi")
+        surplus = repeated.groupBy(*df.columns).agg((F.count("*") - 1).alias("_surplus")).agg(
+            F.coalesce(F.sum("_surplus"), F.lit(0)).alias("n")).scalar()
+        return state.agg(F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("n")).select(
+            surplus.alias("duplicate_rows"), F.col("n").alias("duplicate_keys"))
     full = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     per_key = full.groupBy(*key).agg(
         F.sum("_copies").alias("_rows"), F.sum(F.col("_copies") - 1).alias("_surplus"))
@@ -65,11 +79,12 @@ def duplicate_counts(df: DataFrame, key=BUSINESS_KEY) -> DataFrame:
 
 def report(
     df: DataFrame, rules: list[Rule], duplicates_critical=(), key=BUSINESS_KEY,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """(check_name, bad_rows, critical, status) for every rule and both duplicate counts."""
     marked = [r.name for r in rules if r.critical] + list(duplicates_critical)
     counts = to_rows(count_bad(df, rules), "check_name", "bad_rows").unionByName(
-        to_rows(duplicate_counts(df, key), "check_name", "bad_rows"))
+        to_rows(duplicate_counts(df, key, state), "check_name", "bad_rows"))
     critical = F.col("check_name").isin(*marked) if marked else F.lit(False)
     return counts.withColumn("critical", critical).withColumn(
         "status",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymark.operators.ranking import positions, top_k
 from tallymark.operators.totals import join_on
@@ -39,6 +41,53 @@ def first_per_key(df: DataFrame, key=BUSINESS_KEY, order=("source_file", MEASURE
     return top_k(df, order[0], 1, tie=order[1:], partition=key, ascending=True)
 
 
+def _earliest(columns, order) -> Column:
+    """The least row by ``order``, then by all other columns; NULL is after all else in ``order``."""
+    ranks = [F.struct(F.col(c).isNull().alias("absent"), F.col(c).alias("value")).alias(f"_{c}")
+             for c in order]
+    return F.min(F.struct(*ranks, *[F.col(c) for c in columns if c not in order]))
+
+
+def key_state(
+    df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE, order=("source_file", MEASURE),
+) -> DataFrame:
+    """One row per key that answers what is asked of repeated keys: ``row_count``, the ``least``
+    and ``most`` of the measure, and the ``first`` row in ``order``.
+
+    Written once, it stands in for the rows in all checks of keys and in their removal; it is
+    made with a map-side part, so copies of a hot key are folded before the shuffle.
+    """
+    rest = [c for c in df.columns if c not in key]
+    return df.groupBy(*key).agg(
+        F.count("*").alias("row_count"), F.min(measure).alias("least"), F.max(measure).alias("most"),
+        _earliest(rest, order).alias("first"))
+
+
+def merge_states(*states: DataFrame, key=BUSINESS_KEY) -> DataFrame:
+    """The state of all rows that the given states stand for, without a look at the rows."""
+    return reduce(DataFrame.unionByName, states).groupBy(*key).agg(
+        F.sum("row_count").alias("row_count"), F.min("least").alias("least"),
+        F.max("most").alias("most"), F.min("first").alias("first"))
+
+
+def state_counts(state: DataFrame, key=BUSINESS_KEY) -> DataFrame:
+    """What :func:`keyed_counts` gives, from a state."""
+    return state.select(
+        *key, "row_count", F.coalesce(F.col("least") != F.col("most"), F.lit(False)).alias("conflicting"))
+
+
+def first_rows(
+    state: DataFrame, columns, key=BUSINESS_KEY, order=("source_file", MEASURE),
+) -> DataFrame:
+    """What :func:`first_per_key` gives, from a state: ``columns`` of one row per key."""
+    def of(name: str) -> Column:
+        if name in key:
+            return F.col(name)
+        return F.col(f"first._{name}.value" if name in order else f"first.{name}").alias(name)
+
+    return state.select(*[of(c) for c in columns])
+
+
 def conflicts(df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE) -> DataFrame:
     """Keys whose copies disagree on the measure."""
     return keyed_counts(df, key, measure).filter("conflicting").drop("conflicting")
@@ -46,7 +95,12 @@ def conflicts(df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE) -> DataFr
 
 def dedup_summary(df: DataFrame, key=BUSINESS_KEY, measure: str = MEASURE) -> DataFrame:
     """One row: rows in, out and removed, repeated keys, conflicting keys."""
-    return keyed_counts(df, key, measure).agg(
+    return summary_of(keyed_counts(df, key, measure))
+
+
+def summary_of(counts: DataFrame) -> DataFrame:
+    """The same from the counts of each key."""
+    return counts.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("input_rows"),
         F.count("*").alias("output_rows"),
         F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("removed_rows"),

@@ -23,11 +23,16 @@ def dq_unified(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
     return checks.report(df, nulls + values, ["duplicate_keys"], key)
 
 
-def dq_silver(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
-    """Silver validation: negatives, years, months and dates are critical."""
+def dq_silver(
+    df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY, state: DataFrame | None = None,
+) -> DataFrame:
+    """Silver validation: negatives, years, months and dates are critical.
+
+    A written ``state`` of the keys spares the shuffle of all rows.
+    """
     values = checks.value_rules(
         ["negative_counts", "invalid_dates", "invalid_years", "invalid_months"], years)
-    return checks.report(df, checks.null_rules(SILVER_COLUMNS) + values, key=key)
+    return checks.report(df, checks.null_rules(SILVER_COLUMNS) + values, key=key, state=state)
 
 
 def dq_profile(df: DataFrame, years=VALID_YEARS, key=BUSINESS_KEY) -> DataFrame:
