@@ -28,7 +28,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import ship, staged, text_bytes
+from tallymark.llm.common import bucketed, ship, text_bytes
 from tallymark.llm.exchange import (
     U, bits, flags, from_planes, gathered, packed, planes, replies, rows_of, shard_count,
     shard_cuts, unpacked)
@@ -37,7 +37,7 @@ from tallymark.llm.trie import ID_BITS, Trie, quantised, restored
 
 END = b"\n"  # no word holds a blank
 BEGIN = U(xxhash.xxh64_intdigest(b"\n\n"))
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 DISCOUNT = 0.75
 SMOOTHING = 0.1
 #: Steps of a log10 probability sent with a pair.
@@ -100,10 +100,10 @@ class Block:
     def __init__(self, row: dict) -> None:
         self.row = row
         self.names = np.frombuffer(row["names"], U)
-        self.words = from_planes(row["words"], np.uint32).astype(np.int64)
+        self.words = from_planes(row["words"], np.uint32)
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.array(row["held"], bool)
-        self.owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.owner = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
         self.training = ~self.held[self.owner]
         self.order = np.argsort(self.names)
 
@@ -123,10 +123,12 @@ class Block:
         of a word the number of its pair. The context after a text's start is one past the last
         word."""
         n = len(self.names)
-        context = np.empty(len(self.words), np.int64)
-        context[1:] = self.words[:-1]
-        context[np.cumsum(self.lengths) - self.lengths] = n
-        keys, inverse = np.unique(context * n + self.words, return_inverse=True)
+        places = np.empty(len(self.words), np.int64)
+        places[1:] = self.words[:-1]
+        places[np.cumsum(self.lengths) - self.lengths] = n
+        places *= n
+        places += self.words
+        keys, inverse = np.unique(places, return_inverse=True)
         seen = np.bincount(inverse, self.training, len(keys)).astype(np.int64)
         return keys // n, keys % n, seen, inverse
 
@@ -311,9 +313,10 @@ def scored(docs: DataFrame, held: str = "held_out") -> DataFrame:
     """Scores of all texts by a model learned from the rows whose ``held`` column is false."""
     spark = docs.sparkSession
     ship(spark)
-    rows = staged(blocks(docs.select(
+    # Blocks are the bulk and meet their answers three times: they stay where they lie.
+    rows = bucketed(blocks(docs.select(
         F.col("doc_id").cast("long"), F.col(held).alias("held"), text_bytes().alias("raw"))),
-        "blocks")
+        "blocks", "block")
     figures = rows.select(
         F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("all"),
         F.aggregate(F.zip_with("lengths", "held", lambda n, h: F.when(h, 0).otherwise(n)),
