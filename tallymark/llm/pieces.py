@@ -6,6 +6,7 @@ those spaces can be encoded piece by piece: most pieces are words seen before.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -14,6 +15,9 @@ import pyarrow.compute as pc
 
 LONGEST_KEPT = 64
 KEPT_PIECES = 400_000
+#: The matches of the public pattern in ASCII text.
+ASCII_MATCHES = re.compile(
+    r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 
 
 class PieceMemo(dict):
@@ -58,34 +62,71 @@ class PieceTable:
 
     A text that holds one of the ``added`` strings, which the encoder cuts out before it cuts
     words, is encoded in one piece.
+
+    ``word`` gives the ids of letters alone, after a space or not, without another look for words
+    in them. With it an ASCII piece is put together from its words and marks, which are far fewer
+    than the pieces they make. ``many`` gives the same as ``encode`` for pieces after a space each.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = KEPT_PIECES,
-                 added: tuple[str, ...] = ()) -> None:
+                 added: tuple[str, ...] = (), word: Callable[[str, bool], bytes] | None = None,
+                 many: Callable[[list[str]], list[bytes]] | None = None) -> None:
         self.encode = encode
         self.added = added
         self.limit = limit
+        self.word = word
+        self.many = many or encode
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _of(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces that follow a space each; those that continue one are empty."""
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
+        if len(self.marks) > self.limit:
+            self.marks = {}
         values = list(map(self.known.get, pieces))
-        missing = [i for i, v in enumerate(values) if v is None]
         new = []
-        for i in missing:
-            values[i] = self.older.get(pieces[i])
-            if values[i] is None:
-                new.append(i)
-        for i, v in zip(new, self.encode([" " + pieces[i] for i in new])):
+        for i, value in enumerate(values):
+            if value is None:
+                piece = pieces[i]
+                if self.word is None or len(piece) > LONGEST_KEPT or not piece.isascii():
+                    value = self.older.get(piece)
+                    if value is None:
+                        new.append(i)
+                        continue
+                    self.known[piece] = value
+                elif piece.isalpha():
+                    value = self._after_space(piece)
+                else:
+                    value = b"".join(map(self._match, ASCII_MATCHES.findall(" " + piece)))
+                values[i] = value
+        for i, v in zip(new, self.many([" " + pieces[i] for i in new])):
             values[i] = v
-        for i in missing:
             if len(pieces[i]) <= LONGEST_KEPT:
-                self.known[pieces[i]] = values[i]
+                self.known[pieces[i]] = v
         return values
 
+    def _after_space(self, letters: str) -> bytes:
+        value = self.known.get(letters)
+        if value is None:
+            value = self.older.get(letters)
+            if value is None:
+                value = self.word(letters, True)
+            self.known[letters] = value
+        return value
+
+    def _match(self, match: str) -> bytes:
+        """Ids of one match of the pattern."""
+        if match[0] == " " and match[1:].isalpha():
+            return self._after_space(match[1:])
+        value = self.marks.get(match)
+        if value is None:
+            value = self.word(match, False) if match.isalpha() else self.encode([match])[0]
+            self.marks[match] = value
+        return value
+
     def texts(self, raw: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each followed by ``end``, and how many each has."""
         try:
@@ -95,9 +136,11 @@ class PieceTable:
         lists = pc.split_pattern(column, " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         entry = coded.indices.to_numpy().astype(np.int64)
-        odd = np.fromiter((not p or p[0].isspace() for p in pieces), bool, len(pieces))
+        heads = pc.utf8_slice_codeunits(coded.dictionary, 0, 1).dictionary_encode()
+        odd = np.array([not h or h.isspace() for h in heads.dictionary.to_pylist()], bool)[
+            heads.indices.to_numpy()]
         values = self._of(pieces)
         first = offsets[:-1]
         # First pieces follow no space; texts with runs of spaces are cut in longer chunks.

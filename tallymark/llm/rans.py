@@ -30,7 +30,8 @@ LOW = 1 << 31
 LANES = 1024
 STEPS = 256  # between checkpoints
 BLOCK_IDS = 1 << 19
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 4 << 20
+TOGETHER = 100  # new pieces
 END_ID = 0
 
 
@@ -129,7 +130,7 @@ def worker_pieces(packed: str) -> PieceTable:
     key = f"{len(packed)}-{zlib.crc32(packed.encode())}"
     if key not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         tokenizer = Tokenizer.from_str(packed)
         added = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
@@ -138,8 +139,38 @@ def worker_pieces(packed: str) -> PieceTable:
             return [array("I", e.ids).tobytes()
                     for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+        model, cut = tokenizer.model, tokenizer.pre_tokenizer
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        # The byte-level alphabet has one sign for a byte.
+        n_bytes = np.zeros(max(tokenizer.get_vocab().values(), default=0) + 1, np.int64)
+        for token, number in vocabulary.items():
+            n_bytes[number] = len(token)
+
+        def encode_many(pieces: list[str]) -> list[bytes]:
+            """Pieces that follow a space each, many to a text; the bytes of ids tell them apart."""
+            texts = ["".join(pieces[i:i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+            ids = np.concatenate([np.zeros(0, np.uint32)] + [
+                np.array(e.ids, np.uint32)
+                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            wanted = np.cumsum([len(piece.encode()) for piece in pieces], dtype=np.int64)
+            ends = np.cumsum(n_bytes[ids])
+            at = np.searchsorted(ends, wanted)
+            if not len(ids) or at[-1] >= len(ends) or (ends[at] != wanted).any():
+                return encode_pieces(pieces)  # an added token among them
+            raw, stops = ids.tobytes(), (4 * (at + 1)).tolist()
+            return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+        def encode_word(letters: str, after_space: bool) -> bytes:
+            # The byte-level alphabet has letters as they are and this sign for a space.
+            found = model.tokenize("\u0120" + letters if after_space else letters)
+            return array("I", [t.id for t in found]).tobytes()
+
+        plain = (isinstance(model, models.BPE) and isinstance(cut, pre_tokenizers.ByteLevel)
+                 and cut.use_regex and not cut.add_prefix_space and tokenizer.normalizer is None)
         _tokenizers.clear()
-        _tokenizers[key] = PieceTable(encode_pieces, added=added)
+        _tokenizers[key] = PieceTable(
+            encode_pieces, added=added, **(
+                {"word": encode_word, "many": encode_many} if plain else {}))
     return _tokenizers[key]
 
 
