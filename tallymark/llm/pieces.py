@@ -7,6 +7,7 @@ those spaces can be encoded piece by piece: most pieces are words seen before.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable
 
 import numpy as np
@@ -18,6 +19,8 @@ KEPT_PIECES = 400_000
 #: The matches of the public pattern in ASCII text.
 ASCII_MATCHES = re.compile(
     r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+#: A run of these at the end of a piece is one match.
+MARKS = string.punctuation
 
 
 class PieceMemo(dict):
@@ -86,22 +89,27 @@ class PieceTable:
             self.known, self.older = {}, self.known
         if len(self.marks) > self.limit:
             self.marks = {}
-        values = list(map(self.known.get, pieces))
+        known, older, marks = self.known, self.older, self.marks
+        values = list(map(known.get, pieces))
         new = []
-        for i, value in enumerate(values):
-            if value is None:
-                piece = pieces[i]
-                if self.word is None or len(piece) > LONGEST_KEPT or not piece.isascii():
-                    value = self.older.get(piece)
-                    if value is None:
-                        new.append(i)
-                        continue
-                    self.known[piece] = value
-                elif piece.isalpha():
-                    value = self._after_space(piece)
+        for i in [i for i, value in enumerate(values) if value is None]:
+            piece = pieces[i]
+            if self.word is None or len(piece) > LONGEST_KEPT or not piece.isascii():
+                value = older.get(piece)
+                if value is None:
+                    new.append(i)
+                    continue
+                known[piece] = value
+            else:
+                letters = piece.rstrip(MARKS)
+                if letters.isalpha():
+                    value = known.get(letters) or self._after_space(letters)
+                    if letters is not piece:
+                        tail = piece[len(letters):]
+                        value += marks.get(tail) or self._match(tail)
                 else:
                     value = b"".join(map(self._match, ASCII_MATCHES.findall(" " + piece)))
-                values[i] = value
+            values[i] = value
         for i, v in zip(new, self.many([" " + pieces[i] for i in new])):
             values[i] = v
             if len(pieces[i]) <= LONGEST_KEPT:
@@ -149,8 +157,8 @@ class PieceTable:
         strange[first] = False
         whole = np.add.reduceat(strange, first) > 0 if len(first) else np.zeros(0, bool)
         held = np.zeros(len(first), bool)
-        for string in self.added:
-            held |= pc.match_substring(column, string).to_numpy(zero_copy_only=False)
+        for content in self.added:
+            held |= pc.match_substring(column, content).to_numpy(zero_copy_only=False)
         whole |= held
         heads = [pieces[i] for i in entry[first]]
         chunks, sizes = [], []

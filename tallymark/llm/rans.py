@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import by_size, ship, staged, text_bytes
+from tallymark.llm.common import by_size, memory, ship, staged, text_bytes
 from tallymark.llm.exchange import from_planes, planes, rows_of
 from tallymark.llm.pieces import PieceTable
 
@@ -122,7 +122,7 @@ def decode(n: int, stream: bytes, states: bytes, starts: bytes, table: Table) ->
     return out.ravel()[:n]
 
 
-_tokenizers: dict[str, PieceTable] = {}
+_tokenizers: dict[str, PieceTable] = memory()
 
 
 def worker_pieces(packed: str) -> PieceTable:
@@ -174,11 +174,15 @@ def worker_pieces(packed: str) -> PieceTable:
     return _tokenizers[key]
 
 
-ID_ROWS = "part int, seq int, before long, n_docs int, n_ids long, doc_ids binary, lengths binary, ids binary"
+ID_ROWS = ("part int, seq int, before long, n_docs int, n_ids long, doc_ids binary, lengths binary, "
+           "ids binary, counts binary")
 
 
 def id_rows(docs: DataFrame, tokenizer_file: str) -> DataFrame:
-    """Ids of all texts in ascending document order, whole documents to a row."""
+    """Ids of all texts in ascending document order, whole documents to a row.
+
+    The last row of a part has the counts of each id in the part.
+    """
     ship(docs.sparkSession)
     with open(tokenizer_file, encoding="utf-8") as file:
         packed = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -187,15 +191,20 @@ def id_rows(docs: DataFrame, tokenizer_file: str) -> DataFrame:
         table = worker_pieces(packed.value)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         names, lengths, ids, size = [], [], [], 0
+        tally = np.zeros(0, np.int64)
 
-        def row():
+        def row(last):
+            nonlocal tally
+            together = np.concatenate(ids)
+            tally = summed(tally, np.bincount(together))
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
                 "before": pa.array([before], pa.int64()),
                 "n_docs": pa.array([len(names)], pa.int32()), "n_ids": pa.array([size], pa.int64()),
                 "doc_ids": pa.array([_packed_ids(names)], pa.binary()),
                 "lengths": pa.array([np.array(lengths, "<i8").tobytes()], pa.binary()),
-                "ids": pa.array([planes(np.concatenate(ids))], pa.binary())})
+                "ids": pa.array([planes(together)], pa.binary()),
+                "counts": pa.array([tally.astype("<i8").tobytes() if last else None], pa.binary())})
 
         for batch in batches:
             own = batch.column(0).to_pylist()
@@ -206,6 +215,10 @@ def id_rows(docs: DataFrame, tokenizer_file: str) -> DataFrame:
                 ends = np.cumsum(counts)
                 at = 0
                 while at < len(counts):
+                    if size >= BLOCK_IDS:
+                        yield row(False)
+                        before += size
+                        names, lengths, ids, size, seq = [], [], [], 0, seq + 1
                     low = int(ends[at - 1]) if at else 0
                     to = int(np.searchsorted(ends, low + BLOCK_IDS - size)) + 1
                     to = min(to, len(counts))
@@ -214,12 +227,8 @@ def id_rows(docs: DataFrame, tokenizer_file: str) -> DataFrame:
                     ids.append(found[low:int(ends[to - 1])])
                     size += len(ids[-1])
                     at = to
-                    if size >= BLOCK_IDS:
-                        yield row()
-                        before += size
-                        names, lengths, ids, size, seq = [], [], [], 0, seq + 1
         if names:
-            yield row()
+            yield row(True)
 
     ordered = (docs.select("doc_id", text_bytes().alias("raw"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "raw"))
@@ -237,24 +246,27 @@ def _unpacked_ids(packed: bytes, n: int) -> list:
     return [None if e else int(v) for e, v in zip(null, np.frombuffer(packed[n:], "<i8"))]
 
 
+def summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum of two arrays of counts, the shorter one filled with zeros."""
+    short, long = sorted((a, b), key=len)
+    out = long.astype(np.int64)
+    out[:len(short)] += short
+    return out
+
+
 def id_counts(rows: DataFrame) -> DataFrame:
-    """How often each id occurs; counted per task before the shuffle."""
+    """How often each id occurs, from the counts of the parts; the ids are not read."""
     def run(batches):
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                own = np.bincount(from_planes(raw, np.uint32))
-                if len(own) > len(counts):
-                    own[:len(counts)] += counts
-                    counts = own
-                else:
-                    counts[:len(own)] += own
+                counts = summed(counts, np.frombuffer(raw, "<i8"))
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"id": pa.array(found, pa.int64()),
                                           "n": pa.array(counts[found], pa.int64())})
 
-    return (rows.select("ids").mapInArrow(run, "id long, n long")
-            .groupBy("id").agg(F.sum("n").alias("n")))
+    return (rows.select("counts").where(F.col("counts").isNotNull())
+            .mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")))
 
 
 FILE_ROWS = ("part int, seq int, n_docs int, n_ids long, first_id long, doc_ids binary, "
