@@ -20,7 +20,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import extended, ship, text_bytes
+from tallymark.llm.common import extended, memory, ship, text_bytes
 from tallymark.llm.pieces import PieceMemo
 
 SPREAD = 0x9E3779B97F4A7C15
@@ -149,7 +149,7 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_codecs: dict[str, Codec] = {}
+_codecs: dict[str, Codec] = memory()
 
 
 def worker_codec(packed: bytes, pattern: str) -> Codec:

@@ -20,7 +20,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import ship, text_bytes
+from tallymark.llm.common import memory, ship, text_bytes
 
 EDIT_RATE = 0.05
 BLOCK_CHARS = 2 << 20
@@ -123,7 +123,7 @@ class Finder:
         return sorted(found, key=lambda x: (x[0] is not None, x[0], x[1]))
 
 
-_finders: dict[tuple, Finder] = {}
+_finders: dict[tuple, Finder] = memory()
 
 
 def worker_finder(items: list, rate: float) -> Finder:

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallymark.llm.common import by_size, extended, out_of_the_way, ship, staged
+from tallymark.llm.common import by_size, extended, forget, out_of_the_way, ship, staged
 from tallymark.llm.components import components
 
 U = np.uint64
@@ -40,6 +40,8 @@ GOLDEN = 0x9E3779B97F4A7C15
 SMALL = 8  # members of a bucket whose pairs are compared one by one
 BLOCK = 512  # members of a larger bucket that a task compares with as many others
 COLUMNS = 4096
+#: Bytes of text signed at a time: the arrays of a chunk are some forty times as large.
+SHINGLE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -148,9 +150,10 @@ def signed(docs: DataFrame, rules: NearRules) -> DataFrame:
     text = docs.columns.index("text")
 
     def run(batches):
+        forget()
         for whole in batches:
             texts = [(t or "").encode() for t in whole.column(text).to_pylist()]
-            for start, end in by_size(texts, 4 << 20):
+            for start, end in by_size(texts, SHINGLE_BYTES):
                 own = texts[start:end]
                 owner, keys, counts = shingles(own, rules.width)
                 bands = bands_of(signatures(owner, keys, counts, len(own), rules.slots), rules)
@@ -175,7 +178,7 @@ def payloads(rows: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for whole in batches:
             texts = [(t or "").encode() for t in whole.column(1).to_pylist()]
-            for start, end in by_size(texts, 4 << 20):
+            for start, end in by_size(texts, SHINGLE_BYTES):
                 owner, keys, counts = shingles(texts[start:end], width)
                 copy = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
                 owner, keys = np.repeat(owner, counts), np.repeat(keys, counts)

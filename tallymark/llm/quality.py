@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallymark.llm.common import by_length, extended, ship, staged
+from tallymark.llm.common import by_length, extended, forget, ship, staged
 from tallymark.llm.lines import NO_SITE, text_key
 
 # Common words of the languages.
@@ -167,6 +167,7 @@ def with_stats(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
     sent = keep if text in keep else [*keep, text]
 
     def run(batches):
+        forget()
         for batch in batches:
             raw = batch.column(sent.index(text)).cast(pa.binary()).fill_null(b"")
             sizes = pc.binary_length(raw).to_pylist()

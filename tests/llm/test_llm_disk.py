@@ -2,7 +2,7 @@
 
 import pytest
 
-from tallymark.llm import common
+from tallymark.llm import bpe, common, decontam, rans
 from tallymark.llm.lm import scored
 
 
@@ -29,3 +29,11 @@ def test_blocks_of_the_model_are_not_shuffled(spark):
     assert plan.count("Exchange hashpartitioning(block") == 2
     assert "Bucketed: true" in plan
     assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_a_worker_forgets_what_other_operators_kept():
+    kept = (bpe._codecs, decontam._finders, rans._tokenizers)
+    for own in kept:
+        own["x"] = None
+    common.forget()
+    assert not any(kept)
